@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from plumage.functions.rounding import percent
 
 
-def _label_map(labels: list[str], col: str) -> F.Column:
+def label_name(labels: list[str], col: str) -> F.Column:
     """Index -> label name (IndexToString on a column of the small table)."""
     expr = F.lit(None).cast("string")
     for i, name in reversed(list(enumerate(labels))):
@@ -37,7 +37,7 @@ def confusion_matrix(confusion: DataFrame, labels: list[str], label_col: str = "
                      by: tuple[str, ...] = ("model", "split")) -> DataFrame:
     """(*by, gender, predicted_gender, n), sorted like the reference's output."""
     out = confusion.groupBy(*by, label_col, "prediction").agg(F.sum("n").cast("long").alias("n"))
-    out = out.select(*by, label_col, _label_map(labels, "prediction").alias(f"predicted_{label_col}"), "n")
+    out = out.select(*by, label_col, label_name(labels, "prediction").alias(f"predicted_{label_col}"), "n")
     return out.orderBy(*by, label_col, f"predicted_{label_col}")
 
 
