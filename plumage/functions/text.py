@@ -60,8 +60,10 @@ def tokenize(col: Column | str) -> Column:
 
 def remove_stop_words(tokens: Column | str, stop_words: list[str] | None = None) -> Column:
     """Relational twin of ``StopWordsRemover`` (case-insensitive)."""
-    words = F.array(*[F.lit(w) for w in (stop_words or ENGLISH_STOP_WORDS)])
-    return F.filter(_c(tokens), lambda t: ~F.array_contains(words, F.lower(t)))
+    # ``isin`` over literals becomes a hash-set lookup (InSet), not a scan of
+    # the 181-word list per token.
+    words = stop_words or ENGLISH_STOP_WORDS
+    return F.filter(_c(tokens), lambda t: ~F.lower(t).isin(*words))
 
 
 def sql_string_list(words: list[str]) -> str:

@@ -16,11 +16,9 @@ exact terms (no hashing), so DuckDB can check them:
   task, so a hot term costs one partial row per task, not one row per document.
 * the corpus size N is a one-row aggregate joined by a broadcast cross join
   (a single row: the bound is proven).
-* TF-IDF joins the per-(doc, term) table to the per-term table. That join is
-  left to AQE: it becomes a broadcast only when the *measured* size of the
-  per-term side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
-  otherwise it stays a sort-merge join whose skewed partitions (hot terms) AQE
-  splits (``spark.sql.adaptive.skewJoin.enabled``).
+* TF-IDF joins the per-(doc, term) table to the per-term table with
+  :func:`plumage.operators.joins.lookup_join`: broadcast under a counted
+  vocabulary bound, else a shuffle join whose hot terms are salted.
 """
 
 from __future__ import annotations
@@ -42,6 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumage.functions.text import normalize_text, remove_stop_words, tokenize
+from plumage.operators.joins import lookup_join
 
 NUM_FEATURES = 1000
 NUMERIC_INPUTS = ("link_color_indexed", "tweet_count", "sidebar_color_indexed")
@@ -159,10 +158,16 @@ def inverse_document_frequency(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
                          F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)).alias("idf")))
 
 
-def tfidf(tf: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, term, tf, idf, tfidf); join strategy and skew split left to AQE."""
-    return (tf.join(idf.select("term", "idf"), "term")
-              .select(key, "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf")))
+def tfidf(tf: DataFrame, idf: DataFrame, key: str = "doc_id", **join_options) -> DataFrame:
+    """(key, term, tf, idf, tfidf).
+
+    The per-term table is broadcast only under a counted row bound; beyond it
+    the join shuffles and splits hot terms into salt buckets sized by their
+    document frequency (see :func:`plumage.operators.joins.lookup_join`).
+    """
+    joined = lookup_join(tf, idf.select("term", "df", "idf"), "term", fact_rows_col="df",
+                         spread_by=[key], **join_options)
+    return joined.select(key, "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def std_scale_twin(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -1,0 +1,57 @@
+"""Fact-to-dimension lookup join that is safe for any dimension size and skew.
+
+* If the dimension has at most ``max_broadcast_rows`` rows (counted, not
+  estimated), it is broadcast: no shuffle of the fact side at all.
+* Otherwise both sides are shuffled on the key, and hot keys are split. A key
+  whose fact rows exceed ``rows_per_bucket`` gets ceil(rows / rows_per_bucket)
+  salt buckets: its fact rows are spread over the buckets by a hash of
+  ``spread_by`` and its single dimension row is replicated once per bucket, so
+  no reducer receives more than about ``rows_per_bucket`` rows of one key.
+  The per-key fact row counts come from ``fact_rows_col`` on the dimension when
+  the caller has them (IDF's document frequency is exactly the number of TF
+  rows of a term), else from one partial-aggregated ``groupBy(key).count()``.
+  The hot-key table is broadcast; its size is bounded by construction:
+  ``rows_per_bucket`` is raised to total / ``max_hot_keys`` when needed, and at
+  most total / rows_per_bucket keys can exceed it.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def lookup_join(fact: DataFrame, dim: DataFrame, key: str, *, fact_rows_col: str | None = None,
+                spread_by: list[str] | None = None, max_broadcast_rows: int = 2_000_000,
+                rows_per_bucket: int = 1_000_000, max_hot_keys: int = 1_000_000,
+                how: str = "inner") -> DataFrame:
+    if how not in ("inner", "left"):
+        raise ValueError("lookup_join supports inner and left joins")
+    if fact_rows_col is not None:
+        stats = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(fact_rows_col).alias("total")).first()
+        n_dim, total = stats["n"], stats["total"] or 0
+        key_rows = dim.select(key, F.col(fact_rows_col).alias("__rows"))
+    else:
+        n_dim = dim.count()
+        key_rows = fact.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+        total = None
+    if n_dim <= max_broadcast_rows:
+        return fact.join(F.broadcast(dim), key, how)
+
+    if total is None:
+        total = key_rows.agg(F.sum("__rows")).first()[0] or 0
+    per_bucket = max(rows_per_bucket, math.ceil(total / max_hot_keys))
+    hot = (key_rows.where(F.col("__rows") > per_bucket)
+           .select(key, F.ceil(F.col("__rows") / per_bucket).cast("int").alias("__buckets")))
+    spread_cols = [F.col(c) for c in (spread_by or fact.columns)]
+    salted_fact = (fact.join(F.broadcast(hot), key, "left")  # <= max_hot_keys rows
+                   .withColumn("__salt", F.coalesce(
+                       F.pmod(F.xxhash64(*spread_cols), F.col("__buckets")).cast("int"), F.lit(0)))
+                   .drop("__buckets"))
+    salted_dim = (dim.join(F.broadcast(hot), key, "left")
+                  .withColumn("__salt", F.explode(F.sequence(
+                      F.lit(0), F.coalesce(F.col("__buckets"), F.lit(1)) - 1)))
+                  .drop("__buckets"))
+    return salted_fact.join(salted_dim, [key, "__salt"], how).drop("__salt")

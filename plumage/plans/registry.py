@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 
 from plumage.functions.hex import hex_to_int
 from plumage.functions.split import split_label
-from plumage.functions.text import normalize_text
+from plumage.functions.text import normalize_text, remove_stop_words, tokenize
 from plumage.operators import clean, features, profile
 from plumage.operators.evaluate import confusion_matrix, joint_confusion, label_name, metrics
 from plumage.operators.models import decision_tree, random_forest, train, with_prediction
 from plumage.operators.sweep import sweep
 from plumage.plans import jobs
-from plumage.session import scratch_path, spread
+from plumage.session import cut_lineage, scratch_path, spread
 from plumage.sources import csv as csvsrc
 from plumage.sources.tables import load_table, profiles
 
@@ -162,21 +162,26 @@ def q_normalize_text(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", normalize_text("text").alias("text_clean"))
 
 
-def _ml_tokens(spark, sf_dir) -> DataFrame:
-    d = _docs(spark, sf_dir).select("doc_id", normalize_text("text").alias("text"))
-    return Tokenizer(inputCol="text", outputCol="words").transform(d)
+def _tokens(spark, sf_dir) -> DataFrame:
+    """Tokens as a native expression: same arrays as ml.feature.Tokenizer
+    (asserted in tests) but inside whole-stage codegen, no ScalaUDF."""
+    return _docs(spark, sf_dir).select("doc_id", tokenize(normalize_text("text")).alias("words"))
 
 
 def q_tokenize(spark, sf_dir):
-    return _ml_tokens(spark, sf_dir).select("doc_id", F.posexplode("words").alias("pos", "token"))
+    return _tokens(spark, sf_dir).select("doc_id", F.posexplode("words").alias("pos", "token"))
 
 
-def _ml_removed(spark, sf_dir) -> DataFrame:
-    return StopWordsRemover(inputCol="words", outputCol="removed").transform(_ml_tokens(spark, sf_dir))
+def q_remove_stop_words(spark, sf_dir):
+    kept = _tokens(spark, sf_dir).select("doc_id", remove_stop_words("words").alias("removed"))
+    return kept.select("doc_id", F.posexplode("removed").alias("pos", "token"))
 
 
-def q_remove_stop_words(spark, sf_dir):
-    return _ml_removed(spark, sf_dir).select("doc_id", F.posexplode("removed").alias("pos", "token"))
+def _ml_removed(spark, sf_dir) -> DataFrame:
+    """The pipeline's ML stages (Tokenizer, StopWordsRemover), as HashingTF input."""
+    d = _docs(spark, sf_dir).select("doc_id", normalize_text("text").alias("text"))
+    words = Tokenizer(inputCol="text", outputCol="words").transform(d)
+    return StopWordsRemover(inputCol="words", outputCol="removed").transform(words)
 
 
 def q_term_frequency(spark, sf_dir):
@@ -190,19 +195,24 @@ def q_hashing_tf(spark, sf_dir):
     return tf.select("doc_id", F.posexplode(arr).alias("bucket", "tf")).where(F.col("tf") != 0)
 
 
-def _idf(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    tf = features.term_frequency(docs)
-    return tf, features.inverse_document_frequency(tf, features.corpus_size(docs))
+def _idf(spark, sf_dir, materialize: bool):
+    """TF and IDF tables. With ``materialize`` the TF table (read twice: for
+    document frequencies and for the join) is written once to the shared
+    checkpoint folder, so text is tokenised once."""
+    tf = features.term_frequency(_docs(spark, sf_dir))
+    if materialize:
+        tf = cut_lineage(tf)
+    n_docs = features.corpus_size(load_table(spark, sf_dir, "documents"))
+    return tf, features.inverse_document_frequency(tf, n_docs)
 
 
 def q_idf(spark, sf_dir):
-    _, idf = _idf(spark, sf_dir)
+    _, idf = _idf(spark, sf_dir, materialize=False)
     return idf.withColumn("idf", F.round("idf", R))
 
 
 def q_tfidf(spark, sf_dir):
-    tf, idf = _idf(spark, sf_dir)
+    tf, idf = _idf(spark, sf_dir, materialize=True)
     return features.tfidf(tf, idf).withColumns({"idf": F.round("idf", R), "tfidf": F.round("tfidf", R)})
 
 
