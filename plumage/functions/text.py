@@ -42,6 +42,20 @@ def normalize_text(col: Column | str, unicode_words: bool = False) -> Column:
     return F.lower(F.regexp_replace(_c(col), pattern, " "))
 
 
+# Fixed value: Java's ``\s`` class (space, tab, newline, vertical tab, form feed, return).
+JAVA_WHITESPACE = " \t\n\u000b\f\r"
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a lambda binding).
+
+    A CASE expression that names its input in several branches would otherwise
+    re-evaluate it per branch (generators get no common-subexpression
+    elimination), which for a regex over a whole document costs 3x.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def tokenize(col: Column | str) -> Column:
     """Relational twin of ``ml.feature.Tokenizer``.
 
@@ -49,13 +63,13 @@ def tokenize(col: Column | str) -> Column:
     empty tokens are kept, trailing ones dropped; ``''`` gives ``['']`` and an
     all-blank string gives ``[]`` (Java ``String.split`` semantics).
     """
-    s = F.lower(_c(col))
-    body = F.regexp_replace(s, r"\s+$", "")
-    return (
-        F.when(s == "", F.array(F.lit("")))
-        .when(body == "", F.array().cast("array<string>"))
-        .otherwise(F.split(body, r"\s"))
-    )
+    def on_text(s):
+        def on_body(body):
+            return (F.when(s == "", F.array(F.lit("")))
+                    .when(body == "", F.array().cast("array<string>"))
+                    .otherwise(F.split(body, r"\s")))
+        return let(F.rtrim(s, F.lit(JAVA_WHITESPACE)), on_body)
+    return let(F.lower(_c(col)), on_text)
 
 
 def remove_stop_words(tokens: Column | str, stop_words: list[str] | None = None) -> Column:
