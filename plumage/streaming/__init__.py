@@ -1,0 +1,11 @@
+"""Streaming scoring of profile records (stateless transforms + running confusion)."""
+
+from plumage.streaming.scoring import (
+    malformed_rows,
+    read_profile_stream,
+    running_confusion,
+    score_stream,
+    start,
+)
+
+__all__ = ["malformed_rows", "read_profile_stream", "running_confusion", "score_stream", "start"]

@@ -1,0 +1,69 @@
+"""Scoring profile records as they arrive (Structured Streaming).
+
+Cleaning (projection, trust filter, hex colours, text normalisation), the
+fitted feature ``PipelineModel`` and a fitted tree/forest are all stateless
+per-row transforms, so the batch operators apply unchanged to a streaming
+DataFrame. The only state is the running confusion matrix, which is Spark's
+own stateful aggregation (``groupBy().count()`` in complete/update mode).
+Checkpoints go to the shared checkpoint folder so a restarted query resumes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plumage.operators.clean import prepare
+from plumage.operators.evaluate import label_name
+from plumage.session import scratch_path
+from plumage.sources.csv import CORRUPT, as_schema
+
+
+def read_profile_stream(spark: SparkSession, path: str, schema, header: bool = True,
+                        multi_line: bool = False,
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    """CSV files landing in ``path``, parsed PERMISSIVE with a corrupt column.
+
+    Streaming CSV has no column-pruning shortcut for the corrupt column here:
+    the scoring plan references all data columns. Malformed rows are dropped
+    from scoring (see :func:`malformed_rows` to keep them).
+    """
+    fields = as_schema(schema)
+    reader = (spark.readStream.schema(fields.add(CORRUPT, "string"))
+              .option("header", header).option("mode", "PERMISSIVE").option("multiLine", multi_line)
+              .option("columnNameOfCorruptRecord", CORRUPT))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.csv(path)
+
+
+def malformed_rows(stream: DataFrame) -> DataFrame:
+    return stream.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+
+
+def score_stream(stream: DataFrame, feature_model, classifier, labels: list[str],
+                 form: str = "train") -> DataFrame:
+    """Cleaned rows with ``prediction`` and ``predicted_gender``."""
+    good = stream.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    clean = prepare(good, form).withColumn("text", F.coalesce(F.col("text"), F.lit("")))
+    scored = classifier.transform(feature_model.transform(clean))
+    return scored.select("doc_id", "gender", "prediction",
+                         label_name(labels, "prediction").alias("predicted_gender"))
+
+
+def running_confusion(scored: DataFrame) -> DataFrame:
+    """Stateful (label, predicted label) -> count over everything seen so far."""
+    return scored.groupBy("gender", "predicted_gender").agg(F.count(F.lit(1)).alias("n"))
+
+
+def start(df: DataFrame, query_name: str, output_mode: str = "append", sink: str = "memory",
+          path: str | None = None, checkpoint: str | None = None, trigger_once: bool = False):
+    """Start a streaming query with its checkpoint in the shared folder."""
+    spark = df.sparkSession
+    w = (df.writeStream.queryName(query_name).outputMode(output_mode).format(sink)
+         .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{query_name}")))
+    if path:
+        w = w.option("path", path)
+    if trigger_once:
+        w = w.trigger(availableNow=True)
+    return w.start()

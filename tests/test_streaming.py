@@ -1,0 +1,41 @@
+from pyspark.sql import functions as F
+
+from plumage.operators.models import decision_tree, train
+from plumage.plans import jobs
+from plumage.session import scratch_path
+from plumage.sources.tables import profiles
+from plumage.streaming import read_profile_stream, running_confusion, score_stream, start
+
+from conftest import SF001
+
+RAW = ("doc_id bigint, gender string, gender_gold string, `gender:confidence` string, "
+       "description string, text string, tweet_count string, link_color string, sidebar_color string")
+
+
+def test_stream_scores_equal_batch_scores(spark):
+    fs = jobs.build_features(jobs.cleaned_profiles(spark, SF001, "sweep"), checkpoint=False)
+    tree = train(fs.features, decision_tree())
+    # land the raw profile records as CSV files, as an upstream writer would
+    src = scratch_path(spark, "stream-src")
+    cols = [c.split(" ")[0].strip("`") for c in RAW.split(", ")]
+    profiles(spark, SF001).select(*[F.col(f"`{c}`") for c in cols]).repartition(3) \
+        .write.option("header", True).option("multiLine", True).csv(src)
+
+    # texts hold newlines inside quoted cells: read them as multi-line records
+    stream = read_profile_stream(spark, src, RAW, multi_line=True, max_files_per_trigger=1)
+    scored = score_stream(stream, fs.model, tree, fs.labels, form="sweep")
+    q1 = start(scored, "scored_rows", "append", trigger_once=True)
+    q2 = start(running_confusion(scored), "running_conf", "complete", trigger_once=True)
+    q1.awaitTermination(120)
+    q2.awaitTermination(120)
+
+    streamed = {r.doc_id: r.predicted_gender for r in spark.table("scored_rows").collect()}
+    # the same function over the same files as a batch read
+    batch_src = spark.read.schema(read_profile_stream(spark, src, RAW).schema) \
+        .option("header", True).option("multiLine", True) \
+        .option("columnNameOfCorruptRecord", "_corrupt_record").csv(src)
+    batch = {r.doc_id: r.predicted_gender
+             for r in score_stream(batch_src, fs.model, tree, fs.labels, form="sweep").collect()}
+    assert streamed == batch and len(streamed) > 0
+    total = spark.table("running_conf").agg(F.sum("n")).first()[0]
+    assert total == len(streamed)
