@@ -58,7 +58,7 @@ def build_features(clean: DataFrame, fit_on: str = "all", checkpoint: bool = Tru
     model = fit_features(clean, fit_on=fit_on)
     feats = featurize(clean, model)
     if checkpoint:
-        feats = cut_lineage(feats)
+        feats = cut_lineage(feats, "features")
     return FeatureSet(feats, label_list(model), model)
 
 

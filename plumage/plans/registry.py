@@ -201,7 +201,7 @@ def _idf(spark, sf_dir, materialize: bool):
     checkpoint folder, so text is tokenised once."""
     tf = features.term_frequency(_docs(spark, sf_dir))
     if materialize:
-        tf = cut_lineage(tf)
+        tf = cut_lineage(tf, "term-frequency")
     n_docs = features.corpus_size(load_table(spark, sf_dir, "documents"))
     return tf, features.inverse_document_frequency(tf, n_docs)
 
