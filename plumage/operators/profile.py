@@ -77,3 +77,33 @@ def stage_counts(raw: DataFrame, key: str = "doc_id", train_fraction: float = 0.
 def preview(df: DataFrame, order_by: str = "doc_id", n: int = 10) -> DataFrame:
     """First ``n`` rows by ``order_by`` (a top-k: per-partition top n, then merge)."""
     return df.orderBy(order_by).limit(n)
+
+
+def preview_steps(raw: DataFrame, form: str = "train", key: str = "doc_id", n: int = 10) -> DataFrame:
+    """First ``n`` rows (by ``key``) after each cleaning step, one table.
+
+    Steps: filtered -> colours converted -> text cleaned -> final projection.
+    Colours are shown as text so the four steps share one schema.
+    """
+    from plumage.operators.clean import (
+        clean_text, convert_colours, final_projection, select_profile, trust_filter)
+
+    filtered = trust_filter(select_profile(raw, (key,)), form)
+    converted = convert_colours(filtered)
+    cleaned = clean_text(converted)
+    final = final_projection(cleaned, (key,))
+
+    def shape(df: DataFrame, step: str, raw_colours: bool) -> DataFrame:
+        link = "link_color" if raw_colours else "link_color_indexed"
+        side = "sidebar_color" if raw_colours else "sidebar_color_indexed"
+        return preview(df, key, n).select(
+            F.lit(step).alias("step"), key, "gender", "description", "text", "tweet_count",
+            F.col(link).cast("string").alias("link_color"),
+            F.col(side).cast("string").alias("sidebar_color"))
+
+    parts = [shape(filtered, "1_filtered", True), shape(converted, "2_colours", False),
+             shape(cleaned, "3_text", False), shape(final, "4_final", False)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

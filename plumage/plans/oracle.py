@@ -86,6 +86,35 @@ def stage_counts() -> str:
 
 GOOD_LINE = "doc_id % 10 <> 0 and try_cast(tweet_count as double) is not null"
 
+def describe_csv_modes() -> str:
+    perm = f"""perm as (select doc_id,
+        case when doc_id % 10 = 0 then null else try_cast(tweet_count as double) end as tweet_count,
+        {GOOD_LINE} as good from p)"""
+    parts = []
+    for mode, where in (("permissive", ""), ("dropmalformed", " where good")):
+        for c in ("doc_id", "tweet_count"):
+            parts.append(
+                f"select '{mode}' as mode, '{c}' as column_name, count({c})::bigint as n, "
+                f"round(avg({c}::double), 6) as mean, round(stddev_samp({c}::double), 6) as stddev, "
+                f"round(min({c}::double), 6) as min_value, round(max({c}::double), 6) as max_value "
+                f"from perm{where}")
+    return f"with {PROFILES},\n{perm}\n" + _union(parts)
+
+
+def preview_steps() -> str:
+    link, side = hex_to_int_sql("link_color"), hex_to_int_sql("sidebar_color")
+    steps = [
+        ("1_filtered", "description", "text", "link_color", "sidebar_color"),
+        ("2_colours", "description", "text", f"cast({link} as varchar)", f"cast({side} as varchar)"),
+        ("3_text", norm("description"), norm("text"), f"cast({link} as varchar)", f"cast({side} as varchar)"),
+        ("4_final", norm("description"), norm("text"), f"cast({link} as varchar)", f"cast({side} as varchar)"),
+    ]
+    parts = [f"""select * from (select '{st}' as step, doc_id, gender, {d} as description, {t} as text,
+        tweet_count, {lc} as link_color, {sc} as sidebar_color
+        from sel where {TRAIN} order by doc_id limit 10)""" for st, d, t, lc, sc in steps]
+    return f"with {SEL}\n" + _union(parts)
+
+
 GOLD = SEL + f""",
 s as (select gender, gender_gold from sel where gender in {LABELS} and gender_gold in {LABELS}),
 c as (select gender as l, gender_gold as p, count(*) as n from s group by 1, 2)"""
@@ -147,10 +176,12 @@ from p where {GOOD_LINE}""",
 select count(*)::bigint as rows_read,
        sum(case when {GOOD_LINE} then 1 else 0 end)::bigint as rows_good,
        sum(case when {GOOD_LINE} then 0 else 1 end)::bigint as rows_malformed from p""",
+    "describe_csv_modes": describe_csv_modes(),
     "describe_profile": describe_profile(),
     "describe_strings": describe_strings(),
     "stage_counts": stage_counts(),
     "preview_top10": f"with {cleaned('train')}\nselect * from cleaned order by doc_id limit 10",
+    "preview_steps": preview_steps(),
     "project_cast_alias": f"with {SEL}\nselect * from sel",
     "filter_label_train": f"with {SEL}\nselect * from sel where {TRAIN}",
     "filter_label_sweep": f"with {SEL}\nselect * from sel where {SWEEP}",

@@ -99,6 +99,16 @@ def q_malformed_report(spark, sf_dir):
     return csvsrc.malformed_report(_quarantined(spark, sf_dir))
 
 
+def q_describe_csv_modes(spark, sf_dir):
+    """The profile program's two summaries of one file: every row as a
+    permissive read sees it (bad cells NULL), and only the well-formed rows."""
+    scanned = _quarantined(spark, sf_dir)
+    cols = ["doc_id", "tweet_count"]
+    perm = profile.describe_long(scanned, cols, R).withColumn("mode", F.lit("permissive"))
+    good = profile.describe_long(csvsrc.good_rows(scanned), cols, R).withColumn("mode", F.lit("dropmalformed"))
+    return perm.unionByName(good)
+
+
 # --- profiling -------------------------------------------------------------
 
 def q_describe_profile(spark, sf_dir):
@@ -123,6 +133,10 @@ def q_preview_top10(spark, sf_dir):
 
 # --- projections, filters, scalar functions --------------------------------
 
+def q_preview_steps(spark, sf_dir):
+    return profile.preview_steps(profiles(spark, sf_dir), "train")
+
+
 def q_project_cast_alias(spark, sf_dir):
     return clean.select_profile(profiles(spark, sf_dir))
 
@@ -338,10 +352,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_infer_schema": q_csv_infer_schema,
     "csv_scan_dropmalformed": q_csv_scan_dropmalformed,
     "malformed_report": q_malformed_report,
+    "describe_csv_modes": q_describe_csv_modes,
     "describe_profile": q_describe_profile,
     "describe_strings": q_describe_strings,
     "stage_counts": q_stage_counts,
     "preview_top10": q_preview_top10,
+    "preview_steps": q_preview_steps,
     "project_cast_alias": q_project_cast_alias,
     "filter_label_train": q_filter_label_train,
     "filter_label_sweep": q_filter_label_sweep,
