@@ -24,9 +24,9 @@ def random_forest(label_col: str = "gender_indexed", params: dict | None = None,
     """Forest with node-id caching: deep trees (depth 18) then avoid re-walking
     every tree from the root on each level; the cache is checkpointed every 10
     iterations into the shared checkpoint folder."""
-    p = dict(FOREST_PARAMS if params is None else params) | extra
-    return RandomForestClassifier(labelCol=label_col, featuresCol=FEATURES, seed=SEED,
-                                  cacheNodeIds=True, checkpointInterval=10, **p)
+    p = {"cacheNodeIds": True, "checkpointInterval": 10} | dict(
+        FOREST_PARAMS if params is None else params) | extra
+    return RandomForestClassifier(labelCol=label_col, featuresCol=FEATURES, seed=SEED, **p)
 
 
 def train(features: DataFrame, estimator):

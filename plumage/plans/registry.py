@@ -336,7 +336,7 @@ def q_eval_metrics(spark, sf_dir):
 
 def _sweep(spark, sf_dir, algorithm):
     fs = jobs.build_features(jobs.cleaned_profiles(spark, sf_dir, "sweep"))
-    return sweep(fs.features, algorithm, parallelism=4)
+    return sweep(fs.features, algorithm)
 
 
 def q_sweep_decision_tree(spark, sf_dir):
