@@ -83,28 +83,48 @@ def feature_pipeline(label_col: str = "gender", num_features: int = NUM_FEATURES
                     + weighting_stages(feature_invalid))
 
 
-def fit_features(df: DataFrame, label_col: str = "gender", num_features: int = NUM_FEATURES,
-                 label_invalid: str = "skip", feature_invalid: str = "skip",
-                 fit_on: str = "all") -> PipelineModel:
-    """Fit the pipeline in two phases so text is tokenised and hashed once.
-
-    ``Pipeline.fit`` would re-run tokenising and hashing for each of the three
-    later estimators (two IDFs, the scaler). Here phase one (indexer fit +
-    pure transformers) is materialised once as sparse TF vectors
-    (MEMORY_AND_DISK, evicted after), and phase two fits on that.
-    ``fit_on='train'`` fits on rows with ``split = 'train'`` only; the default
-    ``'all'`` reproduces the reference, which fitted before splitting.
+def fit_and_featurize(df: DataFrame, label_col: str = "gender", num_features: int = NUM_FEATURES,
+                      label_invalid: str = "skip", feature_invalid: str = "skip",
+                      fit_on: str = "all", keep: tuple[str, ...] = ("doc_id", "split"),
+                      sink=None) -> tuple[PipelineModel, DataFrame]:
+    """Fit the pipeline in two phases and featurize, tokenising text once.
+
+    ``Pipeline.fit`` followed by ``transform`` would tokenise and hash every
+    document four times (once per later estimator: two IDFs and the scaler,
+    and again to transform). Here phase one (label index + tokenise + stop
+    words + hashed TF) is materialised once as sparse TF vectors with the row
+    keys (MEMORY_AND_DISK); phase two (IDF x2, assembler, scaler, normaliser)
+    fits on it and transforms it. ``sink`` (e.g. a lineage cut) receives the
+    featurized rows before the phase-one table is released.
+    ``fit_on='train'`` fits both phases on rows with ``split = 'train'`` only;
+    the default ``'all'`` reproduces the reference, which fitted before
+    splitting.
     """
-    fit_df = df.where(F.col("split") == "train") if fit_on == "train" else df
-    phase1 = Pipeline(stages=token_stages(label_col, num_features, label_invalid)).fit(fit_df)
-    hashed = phase1.transform(fit_df).select(
-        *NUMERIC_INPUTS, *[f"hashingtf_{c[:4]}" for c in TEXT_INPUTS]
+    fit_rows = (lambda d: d.where(F.col("split") == "train")) if fit_on == "train" else (lambda d: d)
+    phase1 = Pipeline(stages=token_stages(label_col, num_features, label_invalid)).fit(fit_rows(df))
+    cols = [c for c in keep if c in df.columns]
+    hashed = phase1.transform(df).select(
+        *cols, label_col, f"{label_col}_indexed", *NUMERIC_INPUTS,
+        *[f"hashingtf_{c[:4]}" for c in TEXT_INPUTS],
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        phase2 = Pipeline(stages=weighting_stages(feature_invalid)).fit(hashed)
+        phase2 = Pipeline(stages=weighting_stages(feature_invalid)).fit(fit_rows(hashed))
+        out = phase2.transform(hashed).select(*cols, label_col, f"{label_col}_indexed", FEATURES)
+        if sink is not None:
+            out = sink(out)
     finally:
-        hashed.unpersist()
-    return PipelineModel(stages=phase1.stages + phase2.stages)
+        if sink is not None:
+            hashed.unpersist()
+    return PipelineModel(stages=phase1.stages + phase2.stages), out
+
+
+def fit_features(df: DataFrame, label_col: str = "gender", num_features: int = NUM_FEATURES,
+                 label_invalid: str = "skip", feature_invalid: str = "skip",
+                 fit_on: str = "all") -> PipelineModel:
+    """The fitted twelve-stage ``PipelineModel`` (see :func:`fit_and_featurize`)."""
+    model, _ = fit_and_featurize(df, label_col, num_features, label_invalid, feature_invalid,
+                                 fit_on, keep=(), sink=lambda d: d)
+    return model
 
 
 def label_list(model: PipelineModel) -> list[str]:

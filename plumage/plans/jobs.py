@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from plumage.functions.split import split_label
 from plumage.operators.clean import prepare
 from plumage.operators.evaluate import confusion_matrix, joint_confusion, metrics
-from plumage.operators.features import featurize, fit_features, label_list
+from plumage.operators.features import fit_and_featurize, featurize, fit_features, label_list
 from plumage.operators.models import decision_tree, random_forest, train, with_prediction
 from plumage.session import cut_lineage, spread
 from plumage.sources.tables import profiles
@@ -55,10 +55,14 @@ class FeatureSet:
 
 
 def build_features(clean: DataFrame, fit_on: str = "all", checkpoint: bool = True) -> FeatureSet:
-    model = fit_features(clean, fit_on=fit_on)
-    feats = featurize(clean, model)
+    """Fit the pipeline and featurize; with ``checkpoint`` the feature table is
+    written to the shared folder (training and scoring then read Parquet)."""
     if checkpoint:
-        feats = cut_lineage(feats, "features")
+        model, feats = fit_and_featurize(clean, fit_on=fit_on,
+                                         sink=lambda d: cut_lineage(d, "features"))
+    else:
+        model = fit_features(clean, fit_on=fit_on)
+        feats = featurize(clean, model)
     return FeatureSet(feats, label_list(model), model)
 
 
