@@ -96,8 +96,11 @@ def test_feature_pipeline_twophase_equals_single_pipeline(spark):
     clean = jobs.cleaned_profiles(spark, SF001, "sweep")
     two = features.featurize(clean, features.fit_features(clean))
     one = features.feature_pipeline().fit(clean).transform(clean).select("doc_id", features.FEATURES)
+    landed = jobs.build_features(clean).features  # phase-one reuse + Parquet lineage cut
     a = {r.doc_id: r[features.FEATURES].toArray().tolist() for r in two.collect()}
     b = {r.doc_id: r[features.FEATURES].toArray().tolist() for r in one.collect()}
-    assert a.keys() == b.keys()
+    c = {r.doc_id: r[features.FEATURES].toArray().tolist() for r in landed.collect()}
+    assert a.keys() == b.keys() == c.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k], abs=1e-12)
+        assert c[k] == pytest.approx(b[k], abs=1e-12)
