@@ -1,9 +1,9 @@
 """DuckDB SQL for each query key that plain SQL can express.
 
 Keys whose result depends on Spark's MurmurHash3 bucketing or on a trained
-model (hashing_tf, feature_pipeline, decision_tree, random_forest,
-train_evaluate, compare_models, the sweeps) have no entry: they are checked on
-row counts by the driver and on invariants in the tests.
+model (hashing_tf, decision_tree, random_forest, train_evaluate,
+compare_models, the sweeps) have no entry: they are checked on row counts by
+the driver and on invariants in the tests.
 """
 
 from __future__ import annotations
@@ -216,6 +216,14 @@ from cleaned where tweet_count is not null""",
 select d.doc_id, d.lang, r.label_index as lang_index, r.label as lang_roundtrip
 from documents d join ranked r on d.lang = r.label""",
     "hash_split": f"select doc_id, {split_label_sql('doc_id')} as split from documents",
+    # train-form rows; NULL labels skipped by the indexer, NULL counts by the
+    # assembler; labels ranked by frequency then name; 3 + 1,000 + 1,000 wide; unit norm
+    "feature_pipeline": f"""with {cleaned('train')},
+ranked as (select gender, (row_number() over (order by count(*) desc, gender) - 1)::double as gender_indexed
+           from cleaned where gender is not null group by gender)
+select c.doc_id, {split_label_sql('c.doc_id')} as split, c.gender, r.gender_indexed,
+       2003 as width, 1.0::double as l2_norm
+from cleaned c join ranked r on c.gender = r.gender where c.tweet_count is not null""",
     "confusion_matrix": f"with {GOLD}\nselect l as gender, p as predicted_gender, n::bigint as n from c",
     "eval_metrics": eval_metrics(),
 }

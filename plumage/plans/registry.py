@@ -279,8 +279,9 @@ def q_hash_split(spark, sf_dir):
 # --- pipeline, models, evaluation ------------------------------------------
 
 def q_feature_pipeline(spark, sf_dir):
+    """Rows kept by the pipeline with their label index, vector width and norm."""
     fs = jobs.build_features(jobs.cleaned_profiles(spark, sf_dir, "train"), checkpoint=False)
-    out = features.vector_summary(fs.features)
+    out = features.vector_summary(fs.features).drop("n_active")
     return out.withColumn("l2_norm", F.round("l2_norm", R))
 
 
