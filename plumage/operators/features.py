@@ -95,7 +95,8 @@ def fit_and_featurize(df: DataFrame, label_col: str = "gender", num_features: in
     words + hashed TF) is materialised once as sparse TF vectors with the row
     keys (MEMORY_AND_DISK); phase two (IDF x2, assembler, scaler, normaliser)
     fits on it and transforms it. ``sink`` (e.g. a lineage cut) receives the
-    featurized rows before the phase-one table is released.
+    featurized rows before the phase-one table is released; without a sink the
+    returned rows are lazy and recompute from ``df`` when used.
     ``fit_on='train'`` fits both phases on rows with ``split = 'train'`` only;
     the default ``'all'`` reproduces the reference, which fitted before
     splitting.
@@ -113,8 +114,7 @@ def fit_and_featurize(df: DataFrame, label_col: str = "gender", num_features: in
         if sink is not None:
             out = sink(out)
     finally:
-        if sink is not None:
-            hashed.unpersist()
+        hashed.unpersist()
     return PipelineModel(stages=phase1.stages + phase2.stages), out
 
 

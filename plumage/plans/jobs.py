@@ -100,3 +100,30 @@ def train_evaluate(spark: SparkSession, sf_dir: str, form: str = "train",
     """The train program end to end."""
     fs = build_features(cleaned_profiles(spark, sf_dir, form), fit_on=fit_on)
     return evaluate(fs, fit_models(fs))
+
+
+@dataclass
+class ProfileReport:
+    malformed: DataFrame       # rows read / good / malformed
+    describe: DataFrame        # typed describe of the numeric columns, permissive vs good rows
+    stages: DataFrame          # row counts per stage
+    previews: DataFrame        # first rows after each cleaning step
+
+
+def profile_report(spark: SparkSession, csv_path: str, schema, numeric: list[str],
+                   key: str = "doc_id", form: str = "train", header: bool = True,
+                   multi_line: bool = False) -> ProfileReport:
+    """The profile program on a raw CSV of profile records.
+
+    One PERMISSIVE parse landed as Parquet (see ``scan_with_quarantine``);
+    every report below reads the landed table, never the CSV again.
+    """
+    from plumage.operators.profile import describe_long, preview_steps, stage_counts
+    from plumage.sources.csv import good_rows, malformed_report, scan_with_quarantine
+
+    scanned = scan_with_quarantine(spark, csv_path, schema, header=header, multi_line=multi_line)
+    good = good_rows(scanned)
+    describe = (describe_long(scanned, numeric).withColumn("mode", F.lit("permissive"))
+                .unionByName(describe_long(good, numeric).withColumn("mode", F.lit("dropmalformed"))))
+    return ProfileReport(malformed_report(scanned), describe, stage_counts(good, key),
+                         preview_steps(good, form, key))

@@ -38,3 +38,33 @@ def test_sweep_grid_shape():
         assert len({_point_id(r["params"]) for r in g}) == 31
     tree_bins = [r for r in grid("tree") if r["sweep"] == "minInstancesPerNode"]
     assert all(r["params"]["maxBins"] == 9 and r["params"]["maxDepth"] == 12 for r in tree_bins)
+
+
+def test_profile_report_on_raw_csv(spark):
+    from plumage.session import scratch_path
+    from plumage.sources.tables import profiles
+
+    cols = ["doc_id", "gender", "gender_gold", "gender:confidence", "description", "text",
+            "tweet_count", "link_color", "sidebar_color"]
+    path = scratch_path(spark, "raw-profiles")
+    profiles(spark, SF001).select(*[F.col(f"`{c}`") for c in cols]) \
+        .write.option("header", True).csv(path)
+    schema = ", ".join(f"`{c}` {'bigint' if c == 'doc_id' else 'string'}" for c in cols)
+    rep = jobs.profile_report(spark, path, schema, ["doc_id"], multi_line=True)
+    m = rep.malformed.first()
+    assert m.rows_read == 200 and m.rows_malformed == 0
+    assert rep.stages.where(F.col("stage") == "read").first().n == 200
+    assert rep.previews.select("step").distinct().count() == 4
+    assert rep.describe.count() == 2
+
+
+def test_fit_on_train_does_not_see_test_rows(spark):
+    from plumage.operators.features import fit_and_featurize
+
+    clean = jobs.cleaned_profiles(spark, SF001, "sweep")
+    m_all, _ = fit_and_featurize(clean, fit_on="all", sink=lambda d: d)
+    m_train, feats = fit_and_featurize(clean, fit_on="train", sink=lambda d: d)
+    idf_all = m_all.stages[7].idf.toArray()
+    idf_train = m_train.stages[7].idf.toArray()
+    assert (idf_all != idf_train).any()
+    assert feats.count() == clean.where(F.col("tweet_count").isNotNull()).count()
