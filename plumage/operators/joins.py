@@ -42,6 +42,18 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, *, fact_rows_col: str
 
     if total is None:
         total = key_rows.agg(F.sum("__rows")).first()[0] or 0
+    salted_fact, salted_dim = salt_hot_keys(fact, dim, key, key_rows, total, spread_by,
+                                            rows_per_bucket, max_hot_keys)
+    return salted_fact.join(salted_dim, [key, "__salt"], how).drop("__salt")
+
+
+def salt_hot_keys(fact: DataFrame, dim: DataFrame, key: str, key_rows: DataFrame, total: int,
+                  spread_by: list[str] | None, rows_per_bucket: int,
+                  max_hot_keys: int) -> tuple[DataFrame, DataFrame]:
+    """Add ``__salt`` to both sides: hot keys get several buckets, others one.
+
+    ``key_rows`` is (key, __rows), the number of fact rows per key.
+    """
     per_bucket = max(rows_per_bucket, math.ceil(total / max_hot_keys))
     hot = (key_rows.where(F.col("__rows") > per_bucket)
            .select(key, F.ceil(F.col("__rows") / per_bucket).cast("int").alias("__buckets")))
@@ -54,4 +66,4 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, *, fact_rows_col: str
                   .withColumn("__salt", F.explode(F.sequence(
                       F.lit(0), F.coalesce(F.col("__buckets"), F.lit(1)) - 1)))
                   .drop("__buckets"))
-    return salted_fact.join(salted_dim, [key, "__salt"], how).drop("__salt")
+    return salted_fact, salted_dim

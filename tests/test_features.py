@@ -104,3 +104,25 @@ def test_feature_pipeline_twophase_equals_single_pipeline(spark):
     for k in a:
         assert a[k] == pytest.approx(b[k], abs=1e-12)
         assert c[k] == pytest.approx(b[k], abs=1e-12)
+
+
+def test_hot_key_is_split_into_bounded_buckets(spark):
+    from plumage.operators.joins import salt_hot_keys
+
+    n = 30000
+    # key 0 holds a third of all rows; the rest spread over 2,000 keys
+    fact = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 2000 + 1).alias("k"),
+        F.col("id").alias("row_id"))
+    dim = spark.range(0, 2001).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    key_rows = fact.groupBy("k").agg(F.count(F.lit(1)).alias("__rows"))
+    sf, sd = salt_hot_keys(fact, dim, "k", key_rows, n, ["row_id"], rows_per_bucket=1000,
+                           max_hot_keys=100)
+    sizes = sf.groupBy("k", "__salt").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 1300      # ~1000 per bucket, hash jitter
+    assert sf.where(F.col("k") == 0).select("__salt").distinct().count() == 10
+    assert sd.where(F.col("k") == 0).count() == 10              # dim row replicated per bucket
+    assert sd.where(F.col("k") == 5).count() == 1
+    joined = sf.join(sd, ["k", "__salt"])
+    assert joined.count() == n
+    assert joined.where(F.col("v") != F.col("k") * 10).count() == 0
