@@ -1,7 +1,8 @@
 """Benchmark: run the headline query keys and print one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_KEYS (comma list, default HEADLINE), BENCH_SWEEP=1 to add both sweeps.
+BENCH_KEYS (comma list, default HEADLINE + both sweeps), BENCH_SWEEP=0 to
+leave the two 31-fit sweeps out.
 Each key is executed to completion with the ``noop`` sink (full compute, no
 driver collect). One untimed warm-up run of the flagship on sf0.001 first.
 """
@@ -21,7 +22,8 @@ from plumage.session import local_session  # noqa: E402
 
 HEADLINE = [
     "train_evaluate", "feature_pipeline", "decision_tree", "random_forest", "compare_models",
-    "csv_scan_dropmalformed", "malformed_report", "describe_profile", "stage_counts",
+    "csv_scan_dropmalformed", "malformed_report", "describe_csv_modes", "describe_profile",
+    "stage_counts", "preview_steps",
     "filter_label_train", "hex_to_int", "normalize_text", "tokenize", "term_frequency",
     "idf", "tfidf", "hashing_tf", "standard_scale", "l2_normalize", "string_indexer",
     "hash_split", "confusion_matrix", "eval_metrics",
@@ -38,7 +40,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     keys = os.environ.get("BENCH_KEYS")
     keys = keys.split(",") if keys else list(HEADLINE)
-    if os.environ.get("BENCH_SWEEP") == "1":
+    if not os.environ.get("BENCH_KEYS") and os.environ.get("BENCH_SWEEP", "1") != "0":
         keys += SWEEPS
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="plumage-bench")
     run(QUERIES["train_evaluate"](spark, "/root/testdata/sf0.001"))  # JVM / codegen warm-up

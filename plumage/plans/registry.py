@@ -280,7 +280,7 @@ def q_hash_split(spark, sf_dir):
 
 def q_feature_pipeline(spark, sf_dir):
     """Rows kept by the pipeline with their label index, vector width and norm."""
-    fs = jobs.build_features(jobs.cleaned_profiles(spark, sf_dir, "train"), checkpoint=False)
+    fs = jobs.build_features(jobs.cleaned_profiles(spark, sf_dir, "train"))
     out = features.vector_summary(fs.features).drop("n_active")
     return out.withColumn("l2_norm", F.round("l2_norm", R))
 
@@ -319,7 +319,7 @@ def _gold_vs_crowd(spark, sf_dir):
         F.col("gender").isin(*clean.LABELS) & F.col("gender_gold").isin(*clean.LABELS))
     model = StringIndexer(inputCol="gender", outputCol="gender_indexed").fit(p)
     gold = model.copy()
-    gold.setInputCol("gender_gold").setOutputCol("pred_gold")
+    gold.setInputCol("gender_gold").setOutputCol("pred_gold").setHandleInvalid("keep")
     scored = gold.transform(model.transform(p))
     conf = joint_confusion(scored, ["gold"], by=())
     return conf, list(model.labels)
