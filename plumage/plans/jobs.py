@@ -32,14 +32,16 @@ from plumage.session import cut_lineage, spread
 from plumage.sources.tables import profiles
 
 
-def cleaned_profiles(spark: SparkSession, sf_dir: str, form: str = "train",
-                     train_fraction: float = 0.7, seed: int = 46) -> DataFrame:
-    """Cleaned rows with a deterministic ``split`` column.
+def clean_raw(raw: DataFrame, form: str = "train", key: str = "doc_id",
+              train_fraction: float = 0.7, seed: int = 46) -> DataFrame:
+    """Cleaned rows of raw profile records with a deterministic ``split``.
 
     A NULL text (possible under the train-form filter) becomes '' so the
-    tokenizer does not abort the job.
+    tokenizer does not abort the job. The result is keyed by ``doc_id``.
     """
-    clean = prepare(profiles(spark, sf_dir), form)
+    if key != "doc_id":
+        raw = raw.withColumnRenamed(key, "doc_id")
+    clean = prepare(raw, form)
     clean = clean.withColumns({
         "text": F.coalesce(F.col("text"), F.lit("")),
         "split": split_label("doc_id", train_fraction, seed),
@@ -47,6 +49,12 @@ def cleaned_profiles(spark: SparkSession, sf_dir: str, form: str = "train",
     return spread(clean, "doc_id")
 
 
+def cleaned_profiles(spark: SparkSession, sf_dir: str, form: str = "train",
+                     train_fraction: float = 0.7, seed: int = 46) -> DataFrame:
+    """:func:`clean_raw` over the ``profiles`` view of the driver tables."""
+    return clean_raw(profiles(spark, sf_dir), form, "doc_id", train_fraction, seed)
+
+
 @dataclass
 class FeatureSet:
     features: DataFrame  # doc_id, split, gender, gender_indexed, normalizedFeatures
@@ -97,8 +105,12 @@ def evaluate(fs: FeatureSet, models: dict) -> Evaluation:
 
 def train_evaluate(spark: SparkSession, sf_dir: str, form: str = "train",
                    fit_on: str = "all") -> Evaluation:
-    """The train program end to end."""
-    fs = build_features(cleaned_profiles(spark, sf_dir, form), fit_on=fit_on)
+    """The train program end to end on the driver tables."""
+    return train_evaluate_clean(cleaned_profiles(spark, sf_dir, form), fit_on)
+
+
+def train_evaluate_clean(clean: DataFrame, fit_on: str = "all") -> Evaluation:
+    fs = build_features(clean, fit_on=fit_on)
     return evaluate(fs, fit_models(fs))
 
 
