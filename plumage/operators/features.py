@@ -14,8 +14,7 @@ exact terms (no hashing), so DuckDB can check them:
 * document frequency: ``groupBy(term).count()`` over those distinct pairs; a
   term present in every document (the empty token) is pre-aggregated per map
   task, so a hot term costs one partial row per task, not one row per document.
-* the corpus size N is a one-row aggregate joined by a broadcast cross join
-  (a single row: the bound is proven).
+* the corpus size N is a scalar subquery (one aggregate, used as a constant).
 * TF-IDF joins the per-(doc, term) table to the per-term table with
   :func:`plumage.operators.joins.lookup_join`: broadcast under a counted
   vocabulary bound, else a shuffle join whose hot terms are salted.
@@ -173,9 +172,8 @@ def corpus_size(df: DataFrame) -> DataFrame:
 def inverse_document_frequency(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
     """(term, df, idf) with idf = ln((N + 1) / (df + 1)), as ML's IDF."""
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).cast("long").alias("df"))
-    return (dfreq.crossJoin(F.broadcast(n_docs))  # one row: bounded
-                 .select("term", "df",
-                         F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)).alias("idf")))
+    n = n_docs.select("n_docs").scalar()  # scalar subquery: computed once, used as a constant
+    return dfreq.select("term", "df", F.log((n + 1.0) / (F.col("df") + 1.0)).alias("idf"))
 
 
 def tfidf(tf: DataFrame, idf: DataFrame, key: str = "doc_id", **join_options) -> DataFrame:
@@ -193,14 +191,12 @@ def tfidf(tf: DataFrame, idf: DataFrame, key: str = "doc_id", **join_options) ->
 def std_scale_twin(df: DataFrame, cols: list[str]) -> DataFrame:
     """Divide each column by its sample stddev (0 stays 0 when stddev is 0).
 
-    The stddevs are one aggregate row, joined with a broadcast cross join (a
-    single row is a proven bound); no unpartitioned window.
+    Each stddev is a scalar subquery over one aggregate (computed once, then a
+    constant in the projection); no join and no unpartitioned window.
     """
-    sds = df.agg(*[F.stddev_samp(c).alias(f"__sd_{i}") for i, c in enumerate(cols)])
-    joined = df.crossJoin(F.broadcast(sds))
-    scaled = {c: F.when(F.col(f"__sd_{i}") != 0, F.col(c) / F.col(f"__sd_{i}")).otherwise(0.0)
-              for i, c in enumerate(cols)}
-    return joined.withColumns(scaled).drop(*[f"__sd_{i}" for i in range(len(cols))])
+    sds = [df.select(F.stddev_samp(c)).scalar() for c in cols]
+    return df.withColumns({c: F.when(sd != 0, F.col(c) / sd).otherwise(0.0)
+                           for c, sd in zip(cols, sds)})
 
 
 def l2_normalize_twin(df: DataFrame, cols: list[str]) -> DataFrame:

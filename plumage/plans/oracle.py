@@ -48,8 +48,9 @@ r as (select doc_id, list_filter(toks, lambda x: not list_contains([{sql_string_
 tf as (select doc_id, term, count(*)::bigint as tf
        from (select doc_id, unnest(toks) as term from r) group by doc_id, term),
 nd as (select count(*) as n_docs from documents),
-idf as (select term, count(*)::bigint as df, ln((max(n_docs) + 1.0) / (count(*) + 1.0)) as idf
-        from tf, nd group by term)"""
+idf as (select term, count(*)::bigint as df,
+               ln(((select n_docs from nd) + 1.0) / (count(*) + 1.0)) as idf
+        from tf group by term)"""
 
 
 def _union(parts: list[str]) -> str:
@@ -125,8 +126,8 @@ def eval_metrics() -> str:
 a as (select l, sum(n) as actual from c group by l),
 pr as (select p, sum(n) as predicted from c group by p),
 t as (select sum(n) as total from c),
-d as (select c.n, a.actual, pr.predicted, t.total from c join a on c.l = a.l join pr on c.p = pr.p
-      cross join t where c.l = c.p),
+d as (select c.n, a.actual, pr.predicted, (select total from t) as total
+      from c join a on c.l = a.l join pr on c.p = pr.p where c.l = c.p),
 m as (select round(sum(n) / max(total), 6) as accuracy,
              round(sum(actual / total * (n / predicted)), 6) as weighted_precision,
              round(sum(actual / total * (n / actual)), 6) as weighted_recall,
@@ -141,10 +142,10 @@ select *, floor(accuracy * 100 + 0.5)::bigint as accuracy_pct,
 def _lineitem_scaled(normalize: bool) -> str:
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     sds = ", ".join(f"stddev_samp({c}) as sd_{i}" for i, c in enumerate(cols))
-    scaled = ", ".join(f"case when sd_{i} <> 0 then {c} / sd_{i} else 0.0 end as s_{i}"
-                       for i, c in enumerate(cols))
+    scaled = ", ".join(f"case when (select sd_{i} from sd) <> 0 then {c} / (select sd_{i} from sd)"
+                       f" else 0.0 end as s_{i}" for i, c in enumerate(cols))
     base = (f"with sd as (select {sds} from lineitem),\n"
-            f"sc as (select l_orderkey, l_linenumber, {scaled} from lineitem cross join sd)")
+            f"sc as (select l_orderkey, l_linenumber, {scaled} from lineitem)")
     if not normalize:
         outs = ", ".join(f"round(s_{i}, 6) as {c}_out" for i, c in enumerate(cols))
         return f"{base}\nselect l_orderkey, l_linenumber, {outs} from sc"

@@ -71,7 +71,9 @@ def test_lookup_join_salted_path_equals_broadcast(spark):
     b = sorted((r.doc_id, r.term, r.tf, round(r.tfidf, 9)) for r in salted.collect())
     assert a == b and len(a) > 0
     plan = salted._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    # the salted path joins on (term, __salt); AQE may still turn that join into
+    # a broadcast at run time when the measured sides are tiny, as here
+    assert "__salt" in plan and "sequence(0" in plan
 
 
 def test_lookup_join_without_frequency_column(spark):
