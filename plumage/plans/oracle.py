@@ -1,9 +1,8 @@
 """DuckDB SQL for each query key that plain SQL can express.
 
-Keys whose result depends on Spark's MurmurHash3 bucketing or on a trained
-model (hashing_tf, decision_tree, random_forest, train_evaluate,
-compare_models, the sweeps) have no entry: they are checked on row counts by
-the driver and on invariants in the tests.
+Keys whose result depends on a trained model (decision_tree, random_forest,
+train_evaluate, compare_models, the sweeps) have no entry: they are checked on
+row counts by the driver and on invariants in the tests.
 """
 
 from __future__ import annotations
@@ -160,6 +159,60 @@ RANKED = """ranked as (select lang as label, count(*)::bigint as n,
            from documents group by lang)"""
 
 
+# --- Spark's HashingTF bucket in SQL -----------------------------------------
+# HashingTF maps a term to nonNegativeMod(murmur3_x86_32(utf8(term), seed=42),
+# numFeatures). After normalisation every term is ASCII, so its bytes are the
+# character codes. The hash is built from 32-bit modular steps in HUGEINT.
+
+_M = "4294967296"  # 2^32
+
+
+def _mod32(x: str) -> str:
+    return f"(({x}) % {_M})"
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"((({x}) * {2 ** r}) % {_M} + (({x}) // {2 ** (32 - r)}))"
+
+
+def _scramble(k: str) -> str:
+    # MurmurHash3 x86_32 constants c1, c2.
+    return _mod32(f"({_rotl(_mod32(f'({k})::HUGEINT * 3432918353'), 15)}) * 461845907")
+
+
+def _mix(h: str, k: str) -> str:
+    return _mod32(f"({_rotl(f'xor(({h})::HUGEINT, ({_scramble(k)})::HUGEINT)', 13)}) * 5 + 3864292196")
+
+
+def _byte(t: str, pos: str) -> str:
+    return f"ascii(substr({t}, ({pos}) + 1, 1))::HUGEINT"
+
+
+def _let(value: str, body: str) -> str:
+    """Bind ``value`` to ``a`` once (a one-element list transform)."""
+    return f"list_transform([{value}], lambda a: {body})[1]"
+
+
+def hashing_tf_bucket_sql(t: str, num_features: int = 1000, seed: int = 42) -> str:
+    blocks = (f"list_transform(range(0, length({t}) // 4), lambda j: "
+              f"{_byte(t, '4 * j')} + {_byte(t, '4 * j + 1')} * 256 + "
+              f"{_byte(t, '4 * j + 2')} * 65536 + {_byte(t, '4 * j + 3')} * 16777216)")
+    h = f"list_reduce({blocks}, lambda h, k: {_mix('h', 'k')}, {seed}::HUGEINT)"
+    start = f"(length({t}) // 4) * 4"
+    tail = (f"(case when length({t}) % 4 >= 1 then {_byte(t, start)} else 0 end"
+            f" + case when length({t}) % 4 >= 2 then {_byte(t, start + ' + 1')} * 256 else 0 end"
+            f" + case when length({t}) % 4 >= 3 then {_byte(t, start + ' + 2')} * 65536 else 0 end)")
+    h = (f"(case when length({t}) % 4 > 0 then xor(({h})::HUGEINT, ({_scramble(tail)})::HUGEINT)"
+         f" else ({h})::HUGEINT end)")
+    h = f"xor({h}, length({t})::HUGEINT)"
+    # MurmurHash3 finaliser constants.
+    for body in ("xor(a, a // 65536)", f"(a * 2246822507) % {_M}", "xor(a, a // 8192)",
+                 f"(a * 3266489909) % {_M}", "xor(a, a // 65536)"):
+        h = _let(h, body)
+    signed = _let(h, "case when a >= 2147483648 then a - 4294967296 else a end")
+    return f"(((({signed}) % {num_features}) + {num_features}) % {num_features})::INTEGER"
+
+
 ORACLE: dict[str, str] = {
     # Spark's CSV reader maps an empty cell, quoted or not, to NULL (default
     # nullValue ""), so an empty string does not survive the round trip.
@@ -202,6 +255,10 @@ select doc_id, unnest(generate_series(0, len(toks) - 1))::integer as pos, unnest
     "remove_stop_words": f"""with {TOKENS}
 select doc_id, unnest(generate_series(0, len(toks) - 1))::integer as pos, unnest(toks) as token from r""",
     "term_frequency": f"with {TOKENS}\nselect doc_id, term, tf from tf",
+    "hashing_tf": f"""with {TOKENS},
+b as (select doc_id, {hashing_tf_bucket_sql('term')} as bucket
+      from (select doc_id, unnest(toks) as term from r))
+select doc_id, bucket, count(*)::double as tf from b group by doc_id, bucket""",
     "idf": f"with {TOKENS}\nselect term, df, round(idf, 6) as idf from idf",
     "tfidf": f"""with {TOKENS}
 select tf.doc_id, tf.term, tf.tf, round(idf.idf, 6) as idf, round(tf.tf * idf.idf, 6) as tfidf

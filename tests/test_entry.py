@@ -6,7 +6,7 @@ from plumage.sources.tables import TABLES
 
 from conftest import SF001
 
-NO_ORACLE = {"hashing_tf", "decision_tree", "random_forest", "train_evaluate",
+NO_ORACLE = {"decision_tree", "random_forest", "train_evaluate",
              "compare_models", "sweep_decision_tree", "sweep_random_forest"}
 
 
