@@ -68,3 +68,21 @@ def test_fit_on_train_does_not_see_test_rows(spark):
     idf_train = m_train.stages[7].idf.toArray()
     assert (idf_all != idf_train).any()
     assert feats.count() == clean.where(F.col("tweet_count").isNotNull()).count()
+
+
+def test_one_pass_metrics_equal_ml_evaluator_on_model_predictions(spark):
+    import pytest
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    fs = jobs.build_features(jobs.cleaned_profiles(spark, SF001, "train"))
+    models = jobs.fit_models(fs)
+    ours = {(r.model, r.split): r for r in jobs.evaluate(fs, models).metrics.collect()}
+    for name, model in models.items():
+        scored = model.transform(fs.features)
+        for split in ("train", "test"):
+            part = scored.where(F.col("split") == split)
+            ev = MulticlassClassificationEvaluator(labelCol="gender_indexed", predictionCol="prediction")
+            row = ours[(name, split)]
+            for metric, col in [("accuracy", "accuracy"), ("weightedPrecision", "weighted_precision"),
+                                ("weightedRecall", "weighted_recall"), ("f1", "f1")]:
+                assert row[col] == pytest.approx(ev.setMetricName(metric).evaluate(part), abs=1e-6)
