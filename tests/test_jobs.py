@@ -86,3 +86,15 @@ def test_one_pass_metrics_equal_ml_evaluator_on_model_predictions(spark):
             for metric, col in [("accuracy", "accuracy"), ("weightedPrecision", "weighted_precision"),
                                 ("weightedRecall", "weighted_recall"), ("f1", "f1")]:
                 assert row[col] == pytest.approx(ev.setMetricName(metric).evaluate(part), abs=1e-6)
+
+
+def test_sweep_scoring_batches_by_model_size():
+    from plumage.operators.sweep import model_batches
+
+    class M:
+        def __init__(self, n):
+            self.numNodes = n
+
+    models = {"a": M(40), "b": M(70), "c": M(10), "d": M(200), "e": M(5)}
+    assert model_batches(models, 100) == [["a"], ["b", "c"], ["d"], ["e"]]
+    assert model_batches(models, 10**9) == [["a", "b", "c", "d", "e"]]
