@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumage.operators.clean import prepare
 from plumage.operators.evaluate import label_name
@@ -28,8 +29,8 @@ def read_profile_stream(spark: SparkSession, path: str, schema, header: bool = T
     the scoring plan references all data columns. Malformed rows are dropped
     from scoring (see :func:`malformed_rows` to keep them).
     """
-    fields = as_schema(schema)
-    reader = (spark.readStream.schema(fields.add(CORRUPT, "string"))
+    fields = T.StructType([*as_schema(schema).fields, T.StructField(CORRUPT, T.StringType(), True)])
+    reader = (spark.readStream.schema(fields)
               .option("header", header).option("mode", "PERMISSIVE").option("multiLine", multi_line)
               .option("columnNameOfCorruptRecord", CORRUPT))
     if max_files_per_trigger:
