@@ -17,16 +17,19 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # The deterministic derivation of profile records (the reference's
-# raw input columns) from ``documents``, as specified in FIXTURES.md section 4.
-# It covers NULL / 'unknown' labels, low and missing confidence, NULL texts,
-# non-numeric counts and hex edge cases. ``{src}`` is the documents relation.
+# raw input columns) from ``documents``, as specified in FIXTURES.md section 4,
+# except that ``text`` is the whole rest of the document after the 200-character
+# ``description`` (no 2,000-character cap), so every character of every document
+# is processed. It covers NULL / 'unknown' labels, low and missing confidence,
+# NULL texts, non-numeric counts and hex edge cases. ``{src}`` is the documents
+# relation.
 PROFILES_SPARK_SQL = """
 select doc_id,
  case when b % 10 = 0 then null when b % 10 = 1 then 'unknown' when lang = 'en' then 'male' when lang = 'fr' then 'female' else 'brand' end as gender,
  case (b div 16) % 8 when 0 then 'male' when 1 then 'female' when 2 then 'brand' when 3 then 'unknown' end as gender_gold,
  case (b div 256) % 4 when 0 then '0.6524' when 1 then null else '1.0' end as `gender:confidence`,
  case when (b div 1024) % 12 = 0 then null else substr(text, 1, 200) end as description,
- case when (b div 4096) % 20 = 0 then null else substr(text, 201, 2000) end as text,
+ case when (b div 4096) % 20 = 0 then null else substr(text, 201) end as text,
  case when b % 17 = 0 then 'n/a' else cast(n_chars as string) end as tweet_count,
  case b % 7 when 0 then '9.99E+08' when 1 then '' when 2 then null when 3 then '-' || substr(h, 1, 6) when 4 then h else substr(h, 1, 6) end as link_color,
  case b % 5 when 0 then '0' when 1 then upper(substr(h, 3, 6)) || 'G' else upper(substr(h, 3, 6)) end as sidebar_color
@@ -40,7 +43,7 @@ select doc_id,
  case (b // 16) % 8 when 0 then 'male' when 1 then 'female' when 2 then 'brand' when 3 then 'unknown' end as gender_gold,
  case (b // 256) % 4 when 0 then '0.6524' when 1 then null else '1.0' end as "gender:confidence",
  case when (b // 1024) % 12 = 0 then null else substr(text, 1, 200) end as description,
- case when (b // 4096) % 20 = 0 then null else substr(text, 201, 2000) end as text,
+ case when (b // 4096) % 20 = 0 then null else substr(text, 201) end as text,
  case when b % 17 = 0 then 'n/a' else cast(n_chars as varchar) end as tweet_count,
  case b % 7 when 0 then '9.99E+08' when 1 then '' when 2 then null when 3 then '-' || substr(h, 1, 6) when 4 then h else substr(h, 1, 6) end as link_color,
  case b % 5 when 0 then '0' when 1 then upper(substr(h, 3, 6)) || 'G' else upper(substr(h, 3, 6)) end as sidebar_color
