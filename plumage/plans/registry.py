@@ -238,6 +238,7 @@ def q_assemble_features(spark, sf_dir):
 
 def _lineitem_scaled(spark, sf_dir, normalize: bool) -> DataFrame:
     li = load_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *LINEITEM_NUMERIC)
+    li = spread(li, "l_orderkey")  # vector stages are per-row work: use every core
     v = VectorAssembler(inputCols=LINEITEM_NUMERIC, outputCol="v").transform(li)
     s = StandardScaler(inputCol="v", outputCol="s", withMean=False, withStd=True).fit(v).transform(v)
     out = "s"
