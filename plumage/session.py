@@ -86,3 +86,34 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 * 2**20,
+                 max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Settings for a cluster session, sized from the input and the cluster.
+
+    Shuffles start with about one partition per ``target_partition_bytes`` of
+    input (at least two per core, at most ``max_shuffle_partitions``, which
+    bounds map x reduce shuffle blocks) and AQE coalesces them down to the
+    advisory size once real sizes are known, so reducers fit in executor memory
+    without hand tuning per query. Skewed partitions over 4x the median and the
+    advisory size are split by AQE; file splits stay at 128 MB so a scan task's
+    text fits comfortably in memory. ``spark.checkpoint.dir`` must be added by
+    the caller and point at shared storage.
+    """
+    cores = max(1, executors * cores_per_executor)
+    initial = min(max_shuffle_partitions, max(2 * cores, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(128 * 2**20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 2**20),
+        "spark.ui.enabled": "false",
+    }

@@ -103,3 +103,14 @@ def test_percent_is_half_up(spark):
     got = [r.p for r in df.select(percent("x").alias("p")).collect()]
     # Java Math.round(d) == floor(d + 0.5)
     assert got == [math.floor(x * 100 + 0.5) for x in xs]
+
+
+def test_cluster_conf_sizing():
+    from plumage.session import cluster_conf
+
+    big = cluster_conf(100 * 10**12, executors=1000, cores_per_executor=8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000           # capped
+    small = cluster_conf(10 * 2**20, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16              # two per core
+    mid = cluster_conf(1000 * 256 * 2**20, executors=10, cores_per_executor=4)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 1000
