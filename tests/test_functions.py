@@ -114,3 +114,9 @@ def test_cluster_conf_sizing():
     assert int(small["spark.sql.shuffle.partitions"]) == 16              # two per core
     mid = cluster_conf(1000 * 256 * 2**20, executors=10, cores_per_executor=4)
     assert int(mid["spark.sql.shuffle.partitions"]) == 1000
+
+
+def test_normalize_unicode_variant_keeps_accented_letters(spark):
+    df = spark.createDataFrame([("Áb_c-1é",)], "t string")
+    got = df.select(normalize_text("t", unicode_words=True).alias("n")).first().n
+    assert got == "áb_c 1é"
