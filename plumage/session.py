@@ -83,6 +83,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     splits and no extra shuffle is added.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
+    # A plan that already shuffles runs at the shuffle's parallelism; counting
+    # its partitions through ``df.rdd`` would make AQE execute the shuffle stages.
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -69,3 +69,13 @@ def test_evaluation_is_one_pass_over_scored_rows(spark):
                                "gender_indexed double, pred_a double, pred_b double, gender string, split string")
     plan = _plan(joint_confusion(df, ["a", "b"], by=("split",)))
     assert plan.count("Scan") <= 1 and "Generate stack" in plan
+
+
+def test_spread_only_repartitions_narrow_small_scans(spark):
+    from plumage.session import spread
+
+    docs = load_table(spark, SF001, "documents").select("doc_id", "text")
+    assert docs.rdd.getNumPartitions() == 1
+    assert spread(docs, "doc_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    agg = docs.groupBy("doc_id").count()
+    assert spread(agg, "doc_id") is agg          # already shuffled: left alone, nothing executed
