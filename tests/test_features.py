@@ -128,3 +128,14 @@ def test_hot_key_is_split_into_bounded_buckets(spark):
     joined = sf.join(sd, ["k", "__salt"])
     assert joined.count() == n
     assert joined.where(F.col("v") != F.col("k") * 10).count() == 0
+
+
+def test_features_do_not_depend_on_layout(spark):
+    clean = jobs.cleaned_profiles(spark, SF001, "sweep")
+    a = jobs.build_features(clean).features
+    b = jobs.build_features(clean.repartition(7)).features
+    va = {r.doc_id: r[features.FEATURES].toArray() for r in a.collect()}
+    vb = {r.doc_id: r[features.FEATURES].toArray() for r in b.collect()}
+    assert va.keys() == vb.keys()
+    for k in va:
+        assert va[k] == pytest.approx(vb[k], abs=1e-9)

@@ -120,3 +120,23 @@ def test_normalize_unicode_variant_keeps_accented_letters(spark):
     df = spark.createDataFrame([("Áb_c-1é",)], "t string")
     got = df.select(normalize_text("t", unicode_words=True).alias("n")).first().n
     assert got == "áb_c 1é"
+
+
+def test_hex_spark_and_duckdb_forms_agree(spark):
+    import random
+
+    import duckdb
+
+    from plumage.functions.hex import hex_to_int_sql
+
+    rnd = random.Random(11)
+    alphabet = "0123456789abcdefABCDEFxyzG+- \n."
+    samples = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 20))) for _ in range(2000)]
+    samples += ["7FFFFFFF", "-80000000", "80000000", "+0", "-0", "0" * 30 + "1"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, s string")
+    got = {r.i: r.v for r in df.select("i", hex_to_int("s").alias("v")).collect()}
+    con = duckdb.connect()
+    con.execute("create table t as select * from (select unnest(range(?)) as i, unnest(?) as s)",
+                [len(samples), samples])
+    oracle = dict(con.execute(f"select i, {hex_to_int_sql('s')} from t").fetchall())
+    assert got == oracle
