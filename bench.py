@@ -2,7 +2,8 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_KEYS (comma list, default HEADLINE + both sweeps), BENCH_SWEEP=0 to
-leave the two 31-fit sweeps out.
+leave the two 31-fit sweeps out, BENCH_EVENT_LOG=1 to write Spark's event log
+(stage and task timings) to a fresh temp folder named on stderr.
 Each key is executed to completion with the ``noop`` sink (full compute, no
 driver collect). One untimed warm-up run of the flagship on sf0.001 first.
 """
@@ -42,7 +43,14 @@ def main() -> None:
     keys = keys.split(",") if keys else list(HEADLINE)
     if not os.environ.get("BENCH_KEYS") and os.environ.get("BENCH_SWEEP", "1") != "0":
         keys += SWEEPS
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="plumage-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG") == "1":  # stage/task timings without the UI
+        import tempfile
+
+        log_dir = tempfile.mkdtemp(prefix="plumage-eventlog-")
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+        print(f"event log: {log_dir}", file=sys.stderr)
+    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="plumage-bench", extra=extra)
     run(QUERIES["train_evaluate"](spark, "/root/testdata/sf0.001"))  # JVM / codegen warm-up
 
     times = {}
