@@ -98,7 +98,9 @@ class Evaluation:
 
 
 def evaluate(fs: FeatureSet, models: dict) -> Evaluation:
-    conf = joint_confusion(score(fs, models), list(models), by=("split",))
+    # Cached: at most models x splits x classes^2 rows, and both reports read it,
+    # so scoring runs once however many reports are used.
+    conf = joint_confusion(score(fs, models), list(models), by=("split",)).cache()
     return Evaluation(conf, metrics(conf, label="gender_indexed", by=("model", "split")),
                       confusion_matrix(conf, fs.labels), fs.labels)
 
