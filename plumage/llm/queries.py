@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumage.llm import decontaminate, exactdup, lines, packing, sharding, toxicity
+from plumage.llm import decontaminate, exactdup, lines, neardup, packing, quality, sharding, toxicity
 from plumage.session import cut_lineage
 from plumage.sources.tables import load_table
 
@@ -36,10 +36,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), packing.SEQUENCE)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = load_table(spark, sf_dir, "labels")
+    return quality.score_quality(_documents(spark, sf_dir), labels.where("quality = 1").select("doc_id"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_documents(spark, sf_dir), load_table(spark, sf_dir, "benchmark"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_documents(spark, sf_dir), 85)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_duplicates(_documents(spark, sf_dir))
 
@@ -57,7 +66,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_line_dedup": op2_line_dedup,
     "op4_packing": op4_packing,
+    "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
+    "op7_minhash": op7_minhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
 }
