@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,8 +101,6 @@ def _group_sets(size: int):
         if not left.num_rows or not right.num_rows:
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.binary())], names)
         table = G.from_blobs(left.column("docs"))
-        import pyarrow.compute as pc
-
         table = table.filter(pc.is_in(table.column("id"), value_set=right.column("id").combine_chunks()))
         ids, blobs = [], []
         for batch in slices(iter(table.to_batches())):
@@ -143,8 +142,8 @@ def table_rows(classes: DataFrame) -> DataFrame:
     shared = halves.groupBy("slot", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     mine = F.collect_list(F.struct("slot", "h"))
     per_class = halves.join(shared, ["slot", "h"]).groupBy("rep").agg(mine.alias("own"))
-    side_a, side_b = (F.filter("own", lambda x, f=f: f(x["slot"])) for f in
-                      (lambda s: s < HALVES, lambda s: s >= HALVES))
+    side_a = F.filter("own", lambda x: x["slot"] < HALVES)
+    side_b = F.filter("own", lambda x: x["slot"] >= HALVES)
     tensored = (per_class.select("rep", F.explode(side_a).alias("a"), side_b.alias("bs"))
                 .select("rep", "a", F.explode("bs").alias("b")))
     return tensored.select(F.xxhash64("a.slot", "b.slot", "a.h", "b.h").alias("key"), "rep")
