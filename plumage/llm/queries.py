@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumage.llm import decontaminate, exactdup, lines, neardup, packing, quality, sharding, toxicity
+from plumage.llm import decontaminate, exactdup, lines, neardup, packing, quality, sharding, suffix, toxicity
 from plumage.session import cut_lineage
 from plumage.sources.tables import load_table
 
@@ -49,6 +49,13 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_documents(spark, sf_dir), 85)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix.remove_repeats(_documents(spark, sf_dir), 100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_duplicates(_documents(spark, sf_dir))
 
@@ -69,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op7_minhash": op7_minhash,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
 }
