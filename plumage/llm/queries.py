@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumage.llm import decontaminate, exactdup, lines, neardup, packing, quality, sharding, suffix, toxicity
+from plumage.llm import decontaminate, exactdup, lines, neardup, packing, pii, quality, sharding, suffix, toxicity
 from plumage.session import cut_lineage
 from plumage.sources.tables import load_table
 
@@ -32,6 +32,19 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.sensitive_spans(_documents(spark, sf_dir))
+    listed = F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    base = F.filter("spans", lambda s: s["kind"] != pii.TERM)
+    base_list = F.concat_ws(",", F.transform(base, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    counts = [F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(base_list, 256).alias("base_sha256"), listed.alias("spans"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), packing.SEQUENCE)
 
@@ -72,6 +85,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_line_dedup": op2_line_dedup,
+    "op3_pii": op3_pii,
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
