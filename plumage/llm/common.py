@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumage.session import cut_lineage
+
 SLICE_BYTES = 4 << 20
 
 # The separators of the word and line rules, [\x20\x09-\x0D].
@@ -140,9 +142,22 @@ def shingles(hashes: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray
     return mix(total), out_bounds
 
 
-def row_hash(*columns: str) -> Column:
-    """A stable 64-bit key of a row's columns."""
-    return F.xxhash64(*[F.col(c) for c in columns])
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` into the shared folder and read it back (see ``cut_lineage``).
+
+    Nothing reads the shuffle files behind a landed table again, so Spark is
+    told to delete them once the table is written.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        return cut_lineage(df, name)
+    finally:
+        conf.set(_CLEANUP, before)
 
 
 def text_or_empty(column: str = "text") -> Column:

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumage.session import cut_lineage
-
-
+from plumage.llm.common import land
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node reachable over ``links``.
 
@@ -16,16 +14,16 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     round is written to the shared folder; it ends when no label changes.
     """
     edges = links.select(F.col(a).alias("x"), F.col(b).alias("y"))
-    edges = cut_lineage(edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(),
+    edges = land(edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(),
                         "component-edges")
     labels = edges.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("c"))
-    labels = cut_lineage(labels, "component-labels")
+    labels = land(labels, "component-labels")
     while True:
         near = (edges.join(labels.select(F.col("x").alias("y"), F.col("c").alias("cy")), "y")
                 .groupBy("x").agg(F.min("cy").alias("m")))
         lower = labels.join(near, "x").select("x", "c", F.least("c", "m").alias("n"))
         jump = labels.select(F.col("x").alias("n"), F.col("c").alias("cn"))
-        moved = cut_lineage(lower.join(jump, "n", "left").select(
+        moved = land(lower.join(jump, "n", "left").select(
             "x", "c", F.least("n", F.coalesce("cn", "n")).alias("n")), "component-labels")
         labels = moved.select("x", F.col("n").alias("c"))
         if not moved.where("c <> n").take(1):

@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumage.llm.common import text_or_empty
-from plumage.session import cut_lineage, scratch_path
+from plumage.llm.common import land, text_or_empty
+from plumage.session import scratch_path
 
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -76,13 +76,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     run_stream(digest_state(stream.withColumn("locator", F.input_file_name())),
                scratch_path(spark, "exact-dedup-checkpoint"), target)
     # the last batch that touched a digest has its final state
-    state = cut_lineage(spark.read.schema(_STATE_SCHEMA).parquet(f"{target}/b*").groupBy("digest")
+    state = land(spark.read.schema(_STATE_SCHEMA).parquet(f"{target}/b*").groupBy("digest")
                         .agg(F.max_by(F.struct("keep_id", "group_size"), "batch").alias("s"))
                         .select("digest", "s.keep_id", "s.group_size"), "exact-dedup-final")
     landed = spark.read.parquet(source)
     alone = (landed.select("id", "digest").join(state.where("group_size = 1"), "digest")
              .select("id", "keep_id", "digest", "group_size"))
-    hits = cut_lineage(landed.join(state.where("group_size > 1"), "digest"), "exact-dedup-hits")
+    hits = land(landed.join(state.where("group_size > 1"), "digest"), "exact-dedup-hits")
     return alone.unionByName(_compared(hits)).select(
         F.col("id").alias(id_col), "keep_id", "group_size",
         F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
@@ -97,7 +97,7 @@ def _compared(hits: DataFrame) -> DataFrame:
     """
     kept = (hits.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest")
             .agg(F.max("text").alias("_kept_text")))
-    rows = cut_lineage(hits.join(kept, "digest").withColumn("_same", F.col("text") == F.col("_kept_text"))
+    rows = land(hits.join(kept, "digest").withColumn("_same", F.col("text") == F.col("_kept_text"))
                        .withColumn("text", F.when(~F.col("_same"), F.col("text"))).drop("_kept_text"),
                        "exact-dedup-compared")
     odd = rows.where("not _same").select("id", "digest", "text")

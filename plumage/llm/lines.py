@@ -21,8 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumage.llm.common import tasks, text_or_empty
-from plumage.session import cut_lineage
+from plumage.llm.common import land, tasks, text_or_empty
 
 # What is stripped from a line, and A-Z to a-z.
 STRIP = " \t\n\x0b\x0c\r"
@@ -143,7 +142,7 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lines = (_keyed(docs, id_col, text_col).where(F.col("id").isNotNull())
              .mapInArrow(_hash_lines(min_chars), _LINE_SCHEMA))
     order = [F.col("h"), F.col("id").desc(), F.col("row"), F.col("pos")]
-    runs = cut_lineage(lines.repartitionByRange(tasks(docs), *order).sortWithinPartitions(*order)
+    runs = land(lines.repartitionByRange(tasks(docs), *order).sortWithinPartitions(*order)
                        .mapInArrow(_stream_runs(min_docs), _RUN_SCHEMA), "line-runs")
     still = runs.where("open")
     # one row per open hash: at most two open hashes per range

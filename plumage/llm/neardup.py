@@ -25,9 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumage.llm import groups as G
-from plumage.llm.common import flat_bytes, shingles, slices, text_or_empty, words
+from plumage.llm.common import flat_bytes, land, shingles, slices, text_or_empty, words
 from plumage.llm.components import components
-from plumage.session import cut_lineage
 
 SHINGLE = 5
 #: Half keys in each of the two collections, and minhashes in a half key. At a
@@ -168,17 +167,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     kept. An empty table gives an empty result; other columns are ignored.
     """
     columns = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    scan = cut_lineage(columns.mapInArrow(
+    scan = land(columns.mapInArrow(
         _scan(size), "id long, n_shingles long, set_a long, set_b long, halves array<bigint>"), "minhash-scan")
     some = scan.where("n_shingles > 0 and id is not null")
-    classes = cut_lineage(some.groupBy("set_a", "set_b").agg(
+    classes = land(some.groupBy("set_a", "set_b").agg(
         F.min("id").alias("rep"), F.first("halves").alias("halves")), "minhash-classes")
-    rows = cut_lineage(table_rows(classes), "minhash-tables").withColumn("comp", F.col("rep"))
-    rows = cut_lineage(_open_buckets(rows), "minhash-buckets")
+    rows = land(table_rows(classes), "minhash-tables").withColumn("comp", F.col("rep"))
+    rows = land(_open_buckets(rows), "minhash-buckets")
 
     groups = G.group_count(G.text_bytes(docs, text_col))
     wanted = rows.select(F.col("rep").alias("id")).distinct().withColumn("g", F.pmod(F.xxhash64("id"), F.lit(groups)))
-    sets = cut_lineage(G.packed_groups(columns, groups).groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(
+    sets = land(G.packed_groups(columns, groups).groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(
         _group_sets(size), "id long, shingles binary"), "minhash-sets")
 
     joined = classes.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
@@ -199,13 +198,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
             rows = rows.join(leaders, "key")
             pairs = (rows.where((F.col("comp") != F.col("lead.comp")))
                      .select(F.col("lead.rep").alias("a"), F.col("rep").alias("b")))
-        links = cut_lineage(confirmed(pairs.select("a", "b").distinct(), sets, percent), "minhash-links")
+        links = land(confirmed(pairs.select("a", "b").distinct(), sets, percent), "minhash-links")
         joined = _contract(joined, links)
         if last:
             break
         # a leader has been compared with its whole bucket and leaves it
         rows = rows.where(F.col("rep") != F.col("lead.rep")).select("key", "rep")
-        rows = cut_lineage(_open_buckets(rows.join(joined, rows["rep"] == joined["node"]).select(
+        rows = land(_open_buckets(rows.join(joined, rows["rep"] == joined["node"]).select(
             "key", "rep", F.col("component").alias("comp"))), "minhash-buckets")
 
     member = classes.select("set_a", "set_b", "rep").join(joined, F.col("rep") == F.col("node")).select(
@@ -223,6 +222,6 @@ def _contract(joined: DataFrame, links: DataFrame) -> DataFrame:
     of_b = joined.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     between = links.join(of_a, "a").join(of_b, "b").where("ca <> cb").select("ca", "cb").distinct()
     merged = components(between, "ca", "cb")
-    return cut_lineage(joined.join(merged.select(F.col("node").alias("component"), F.col("component").alias("to")),
+    return land(joined.join(merged.select(F.col("node").alias("component"), F.col("component").alias("to")),
                                    "component", "left").select(
         "node", F.coalesce("to", "component").alias("component")), "minhash-components")

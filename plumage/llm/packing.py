@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumage.session import cut_lineage
-
+from plumage.llm.common import land
 SEQUENCE = 2048
 END_ID = 1
 #: Words whose ids a Python worker remembers (bounds its memory).
@@ -143,7 +142,7 @@ def tokenized(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
               end_id: int = END_ID) -> DataFrame:
     """Written once: (id, task, task_start, doc_tokens, ids) with running starts per task."""
     columns = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return cut_lineage(columns.mapInArrow(_tokenize(tokenizer, end_id), _TOKEN_SCHEMA), "packing-tokens")
+    return land(columns.mapInArrow(_tokenize(tokenizer, end_id), _TOKEN_SCHEMA), "packing-tokens")
 
 
 def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, id_col: str = "doc_id",

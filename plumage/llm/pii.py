@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumage.llm.common import text_or_empty
-from plumage.session import cut_lineage
+from plumage.llm.common import land, text_or_empty
 
 # The kinds in their order, and the forms searched for. Each
 # pattern finds the same leftmost matches as its plain form (given beside it)
@@ -142,7 +141,7 @@ def disclosures(docs: DataFrame, mentions: DataFrame, terms: DataFrame, text_col
     n_entity = lowered.distinct().groupBy(*entity).agg(F.count(F.lit(1)).alias("n_entity"))
     both = (terms.select("uid", *entity, "term").distinct().groupBy(*entity, "term")
             .agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support))
-    both = cut_lineage(both, "pii-pairs")
+    both = land(both, "pii-pairs")
     wanted = both.select("term").distinct()
     n_term = document_frequencies(docs, text_col).join(wanted, "term")
     n = docs.select(F.count(F.lit(1)).alias("n")).scalar()
@@ -164,9 +163,9 @@ def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts have no spans; an empty table gives an empty result; other columns
     are ignored.
     """
-    mentions = cut_lineage(entity_mentions(docs, id_col, text_col), "pii-mentions")
-    terms = cut_lineage(context_terms(mentions), "pii-terms")
-    bad = cut_lineage(disclosures(docs, mentions, terms, text_col, support, generalise), "pii-disclosures")
+    mentions = land(entity_mentions(docs, id_col, text_col), "pii-mentions")
+    terms = land(context_terms(mentions), "pii-terms")
+    bad = land(disclosures(docs, mentions, terms, text_col, support, generalise), "pii-disclosures")
     rank = reduce(lambda a, i: a.when(F.col("kind") == KINDS[i], i), range(len(KINDS)),
                   F.when(F.col("kind") == TERM, len(KINDS)))
     added = (terms.join(bad, ["kind", "entity", "term"])

@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumage.llm import groups as G
-from plumage.llm.common import flat_bytes, text_or_empty
-from plumage.session import cut_lineage
+from plumage.llm.common import flat_bytes, land, text_or_empty
 
 ORDER = 5
 #: Trusted documents kept out of training, of this many: they give the quantiles.
@@ -149,7 +148,7 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> dict[int, tuple[DataFra
     """
     tables = {order: counts.select("gram", "n")}
     for k in range(order - 1, 0, -1):
-        tables[k] = cut_lineage(tables[k + 1].groupBy(_suffix("gram", k).alias("gram"))
+        tables[k] = land(tables[k + 1].groupBy(_suffix("gram", k).alias("gram"))
                                 .agg(F.count(F.lit(1)).alias("n")), f"kn-continuations-{k}")
     model: dict[int, tuple[DataFrame, DataFrame]] = {}
     for k in range(1, order + 1):
@@ -159,7 +158,7 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> dict[int, tuple[DataFra
         off = (F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2]))
         seen = tables[k].withColumn("ctx", F.shiftright("gram", 8)).withColumn("off", off)
         contexts = seen.groupBy("ctx").agg(F.sum("n").alias("total"), F.sum("off").alias("mass"))
-        contexts = cut_lineage(contexts.select("ctx", "total", (F.col("mass") / F.col("total")).alias("back")),
+        contexts = land(contexts.select("ctx", "total", (F.col("mass") / F.col("total")).alias("back")),
                                f"kn-contexts-{k}")
         seen = seen.join(contexts, "ctx")
         if k == 1:
@@ -168,7 +167,7 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> dict[int, tuple[DataFra
             lower = seen.withColumn("suffix", _suffix("gram", k - 1)).join(
                 model[k - 1][0].select(F.col("gram").alias("suffix"), F.col("p").alias("low")), "suffix")
         p = F.greatest(F.col("n") - F.col("off"), F.lit(0.0)) / F.col("total") + F.col("back") * F.col("low")
-        model[k] = (cut_lineage(lower.select("gram", p.alias("p")), f"kn-model-{k}"), contexts.select("ctx", "back"))
+        model[k] = (land(lower.select("gram", p.alias("p")), f"kn-model-{k}"), contexts.select("ctx", "back"))
     return model
 
 
@@ -249,16 +248,16 @@ def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
              .withColumn("held", (F.pmod(F.xxhash64(key, F.lit(1)), F.lit(HELD_OUT)) == 0).cast("int"))
              .withColumn("g", F.pmod(F.xxhash64("id"), F.lit(n_groups))))
     packed = G.packed_groups(columns, n_groups)
-    gathered = cut_lineage(packed.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(
+    gathered = land(packed.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(
         _gather(order, shards), "g long, shard long, keys binary, counts binary"), "quality-grams")
-    grams = cut_lineage(gathered.groupBy("shard").applyInArrow(_sum_shard, "shard long, gram long, n long"),
+    grams = land(gathered.groupBy("shard").applyInArrow(_sum_shard, "shard long, gram long, n long"),
                         "quality-counts")
     model = kneser_ney(grams.where("n > 0"), order)
-    bits = cut_lineage(probabilities(grams, model, order), "quality-bits")
+    bits = land(probabilities(grams, model, order), "quality-bits")
     asked = gathered.where("counts is null").select("g", "shard", "keys")
     answers = asked.groupBy("shard").cogroup(bits.groupBy("shard")).applyInArrow(
         _answer, "g long, keys binary, bits binary")
-    scored = cut_lineage(packed.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(
+    scored = land(packed.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(
         _score(order), "id long, lang string, n_bytes long, bits double"), "quality-scores")
     return _decide(scored, known).withColumnRenamed("id", id_col)
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumage.llm import decontaminate, exactdup, lines, neardup, packing, pii, quality, sharding, suffix, toxicity
-from plumage.session import cut_lineage
+from plumage.llm.common import land
 from plumage.sources.tables import load_table
 
 SHARDS = 16
@@ -77,7 +77,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     labels = load_table(spark, sf_dir, "labels").withColumn("low_quality", 1 - F.col("quality"))
     categories = ("low_quality", "toxic")
-    sample = cut_lineage(toxicity.labelled_sample(docs, labels, categories), "toxicity-sample")
+    sample = land(toxicity.labelled_sample(docs, labels, categories), "toxicity-sample")
     scored = toxicity.score_chain(docs, toxicity.fit_chain(sample, categories))
     return scored.withColumn("is_toxic", F.col("p_toxic") >= TOXIC)
 

@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from plumage.llm.common import text_or_empty
-from plumage.session import cut_lineage
+from plumage.llm.common import land, text_or_empty
 
 LOTS = 1 << 16
 #: Rows of one shard that one task numbers.
@@ -69,7 +68,7 @@ def shard_longest_first(docs: DataFrame, shards: int = 16, id_col: str = "doc_id
     shard and slot (gapless from 0 in each shard).
     """
     text = text_or_empty(text_col)
-    rows = cut_lineage(docs.select(
+    rows = land(docs.select(
         F.col(id_col).alias("_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),

@@ -31,8 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumage.llm import groups as G
-from plumage.llm.common import _power_table, flat_bytes, mix, text_or_empty
-from plumage.session import cut_lineage
+from plumage.llm.common import _power_table, flat_bytes, land, mix, text_or_empty
 
 LENGTH = 100
 GRAM = 32
@@ -431,11 +430,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     packed = G.packed_groups(columns, groups).groupBy("g")
     keys = packed.applyInArrow(_send_keys(length, gram, buckets), "g long, bucket long, keys binary, counts binary")
     answers = keys.groupBy("bucket").applyInArrow(_answer_keys(frequent), "g long, keys binary, hot binary")
-    pieces = cut_lineage(packed.cogroup(answers.groupBy("g")).applyInArrow(
+    pieces = land(packed.cogroup(answers.groupBy("g")).applyInArrow(
         _sort_group(length, gram, buckets), "g long, bucket long, piece binary"), "suffix-pieces")
     across = pieces.where("bucket is not null").groupBy("bucket").applyInArrow(
         _sort_bucket(length), "g long, piece binary")
-    ranges = cut_lineage(pieces.where("bucket is null").select("g", "piece").unionByName(across), "suffix-ranges")
+    ranges = land(pieces.where("bucket is null").select("g", "piece").unionByName(across), "suffix-ranges")
     return packed.cogroup(ranges.groupBy("g")).applyInArrow(
         _remove(length), "id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
     ).withColumnRenamed("id", id_col)

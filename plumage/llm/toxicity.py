@@ -20,8 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumage.llm.common import LETTERS, flat_bytes, slices, words
-from plumage.session import cut_lineage
+from plumage.llm.common import LETTERS, flat_bytes, land, slices, words
 
 #: Labelled rows a chain is fitted on, at most.
 SAMPLE_ROWS = 20_000
@@ -119,7 +118,7 @@ def select_features(sample: DataFrame, categories: Sequence[str], per_category:
               .mapInArrow(_count(k), "feature long, n long, " + ", ".join(f"n{c} long" for c in range(k)))
               .groupBy("feature").agg(F.sum("n").alias("n"), *[F.sum(f"n{c}").alias(f"n{c}") for c in range(k)])
               .where(F.col("n") >= min_rows))
-    counts = cut_lineage(counts, "toxicity-features")
+    counts = land(counts, "toxicity-features")
     chosen: set[int] = set()
     rows = float(totals[0])
     for c in range(k):
@@ -143,7 +142,7 @@ def fit_chain(sample: DataFrame, categories: Sequence[str], folds: int = FOLDS,
     schema = "id long, " + ", ".join(f"{c} double" for c in categories) + ", x array<double>"
     rows = sample.select("id", "text", *categories).mapInArrow(_matrix(features, k, names), schema)
     # the sample is bounded, so a few partitions hold it; every fitting step is one small job over them
-    rows = cut_lineage(rows.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(folds))).coalesce(PARTITIONS),
+    rows = land(rows.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(folds))).coalesce(PARTITIONS),
                        "toxicity-rows")
     bias, weights, earlier = np.zeros(k), np.zeros((k, len(features))), np.zeros((k, k))
     for c, name in enumerate(categories):
@@ -163,7 +162,7 @@ def fit_chain(sample: DataFrame, categories: Sequence[str], folds: int = FOLDS,
             scored = parts[0]
             for part in parts[1:]:
                 scored = scored.unionByName(part)
-            rows = cut_lineage(scored.withColumn(f"p_{name}", vector_to_array("p")[1]).drop("v", "p", "r", "q"),
+            rows = land(scored.withColumn(f"p_{name}", vector_to_array("p")[1]).drop("v", "p", "r", "q"),
                                "toxicity-out-of-fold")
     return Chain(tuple(categories), features, bias, weights, earlier)
 
