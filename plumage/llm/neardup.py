@@ -5,12 +5,14 @@ HALVES half keys a side there are HALVES**2 tables, but only 2 * HALVES * WIDTH
 minhashes to compute. Documents with equal shingle sets are one class from the
 start. A class takes part only with half keys that some other class has too.
 
-Candidates are verified on full shingle sets. Large groups of copies never give
-all pairs: in each round the classes of a bucket are compared with the bucket's
-leader only, links join components, and buckets whose classes are all joined
-are done. What is left in other buckets (pairs not yet joined, not yet compared)
-gets new leaders, and finally, once few pairs are left, is compared pair by
-pair, so no candidate goes unchecked.
+Classes that share a bucket are candidates; the star from a bucket's smallest
+class to the others (never all pairs) joins them into candidate clusters. Inside
+a cluster full shingle sets are compared, block against block: each class's set
+is sent once per block of its cluster, no pair is ever a row, and what a task
+returns is a spanning forest of its links. So no candidate goes unchecked, no
+cluster has to fit into one task, and a pair costs a few multiplications. The
+number of block pairs of one cluster grows with the square of its different
+texts (exact copies do not count).
 """
 
 from __future__ import annotations
@@ -33,10 +35,10 @@ SHINGLE = 5
 #: similarity of 0.85 a pair shares a table with probability 1 - 1.5e-4.
 HALVES = 10
 WIDTH = 3
-#: Leader rounds before the pairs left over are compared one by one: as long as
-#: more than this many pairs per bucket row would be left.
-PAIRS_PER_ROW = 2
-MAX_ROUNDS = 12
+#: Classes, and bytes of shingle hashes, in a block of a candidate cluster.
+BLOCK = 512
+BLOCK_BYTES = 8 << 20
+_COLUMNS = 4096
 
 _SEED = 20240229
 
@@ -110,29 +112,96 @@ def _group_sets(size: int):
     return run
 
 
-def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = np.zeros(batch.num_rows, bool)
-            for r, (a, b) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (a, b))
-                if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
-                    continue  # the intersection is at most the smaller set
-                both = np.concatenate([x, y])
-                both.sort()
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                ok[r] = 100 * shared >= percent * (len(both) - shared)
-            keep = pa.array(ok)
-            yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+def _similar(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> np.ndarray:
+    """Matrix of which sets are similar (``right`` None: all of ``left`` with each other)."""
+    sets = left + (right or [])
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, at, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    column = np.cumsum(counts > 1) - 1  # a shingle of one set is in no intersection
+    common = counts[at] > 1
+    owner, at = owner[common], column[at[common]]
+    by = np.argsort(at, kind="stable")
+    owner, at = owner[by], at[by]
+    split = len(left) if right is not None else 0
+    shared = np.zeros((len(left), len(sets) - split), np.float32)
+    for lo in range(0, int(at[-1]) + 1 if len(at) else 0, _COLUMNS):
+        part = slice(*np.searchsorted(at, [lo, lo + _COLUMNS]))
+        inside = np.zeros((len(sets), _COLUMNS), np.float32)
+        inside[owner[part], at[part] - lo] = 1
+        shared += inside[:len(left)] @ inside[split:].T
+    size = np.array([len(x) for x in sets])
+    shared = shared.astype(np.int64)
+    return 100 * shared >= percent * (size[:len(left), None] + size[None, split:] - shared)
+
+
+def _forest(similar: np.ndarray, across: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node it is connected with), for connected nodes other than that."""
+    if across:
+        rows, cols = similar.shape
+        both = np.zeros((rows + cols, rows + cols), bool)
+        both[:rows, rows:] = similar
+        both[rows:, :rows] = similar.T
+        similar = both
+    label = np.arange(len(similar))
+    near = similar | np.eye(len(similar), dtype=bool)
+    while True:
+        least = np.where(near, label[None, :], len(label)).min(axis=1)
+        least = least[least]
+        if (least == label).all():
+            node = np.flatnonzero(label != np.arange(len(label)))
+            return node, label[node]
+        label = least
+
+
+def _compare(percent: int):
+    """Links between the classes of each cluster's block or pair of blocks."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("cluster", "ascending"), ("rep", "ascending")])
+        rep, cluster, block, other = (table.column(c).to_numpy() for c in ("rep", "cluster", "block", "other"))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
+        a, b = [], []
+        cuts = np.flatnonzero(np.diff(cluster)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(cluster)]):
+            first, second = min(block[lo:hi].min(), other[lo:hi].min()), max(block[lo:hi].max(), other[lo:hi].max())
+            mine = np.arange(lo, hi)
+            if first == second:
+                similar = _similar([sets[i] for i in mine], None, percent)
+            else:
+                near, far = mine[block[mine] == first], mine[block[mine] == second]
+                mine = np.concatenate([near, far])
+                if not len(near) or not len(far):
+                    continue
+                similar = _similar([sets[i] for i in near], [sets[i] for i in far], percent)
+            node, root = _forest(similar, first != second)
+            a.append(rep[mine[root]])
+            b.append(rep[mine[node]])
+        none = np.zeros(0, np.int64)
+        return pa.table([pa.array(np.concatenate(a or [none])), pa.array(np.concatenate(b or [none]))], ["a", "b"])
     return run
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar: 100 * shared >= percent * union."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    return (pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb")
-            .mapInArrow(_confirm(percent), "a long, b long"))
+def cluster_links(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect just the classes that are similar, directly or over others.
+
+    ``sets`` has (id, shingles) and ``clusters`` (node, component). A cluster
+    of n blocks gives n * (n + 1) / 2 tasks of two blocks; small clusters share
+    tasks.
+    """
+    members = sets.join(clusters, sets["id"] == clusters["node"]).select(
+        F.col("id").alias("rep"), F.col("component").alias("cluster"), "shingles")
+    size = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("bytes"))
+    size = land(size.where("n > 1").select("cluster", "bytes", F.greatest(
+        F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")), "minhash-sizes")
+    bins = G.group_count(size.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0], BLOCK_BYTES)
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = members.join(size, "cluster").withColumn("block", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    work = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(bins))).otherwise(
+        F.xxhash64("cluster", low, high))
+    return (dealt.select("cluster", "rep", "block", "other", "shingles", (F.col("blocks") == 1).alias("small"),
+                         work.alias("work")).groupBy("small", "work").applyInArrow(_compare(percent), "a long, b long"))
 
 
 def table_rows(classes: DataFrame) -> DataFrame:
@@ -148,11 +217,11 @@ def table_rows(classes: DataFrame) -> DataFrame:
     return tensored.select(F.xxhash64("a.slot", "b.slot", "a.h", "b.h").alias("key"), "rep")
 
 
-def _open_buckets(rows: DataFrame) -> DataFrame:
-    """Rows (key, rep, comp) of buckets that still hold more than one component."""
-    mixed = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo <> hi").select("key"))
-    return rows.join(mixed, "key", "left_semi")
+def candidate_clusters(rows: DataFrame) -> DataFrame:
+    """(node, component) of the classes that share buckets, over each bucket's smallest class."""
+    leaders = rows.groupBy("key").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    stars = rows.join(leaders, "key").where("rep <> lead").select("lead", "rep").distinct()
+    return components(stars, "lead", "rep")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
@@ -172,56 +241,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     some = scan.where("n_shingles > 0 and id is not null")
     classes = land(some.groupBy("set_a", "set_b").agg(
         F.min("id").alias("rep"), F.first("halves").alias("halves")), "minhash-classes")
-    rows = land(table_rows(classes), "minhash-tables").withColumn("comp", F.col("rep"))
-    rows = land(_open_buckets(rows), "minhash-buckets")
+    clusters = land(candidate_clusters(land(table_rows(classes), "minhash-tables")), "minhash-clusters")
 
     groups = G.group_count(G.text_bytes(docs, text_col))
-    wanted = rows.select(F.col("rep").alias("id")).distinct().withColumn("g", F.pmod(F.xxhash64("id"), F.lit(groups)))
+    wanted = clusters.select(F.col("node").alias("id")).withColumn("g", F.pmod(F.xxhash64("id"), F.lit(groups)))
     sets = land(G.packed_groups(columns, groups).groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(
         _group_sets(size), "id long, shingles binary"), "minhash-sets")
-
-    joined = classes.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
-    for turn in range(MAX_ROUNDS + 1):
-        counts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-        open_pairs = counts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("sq"))
-        left, members = open_pairs.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("sq")) / 2), F.lit(0.0)),
-                                       F.coalesce(F.sum("n"), F.lit(0))).first()
-        if not left:
-            break
-        last = turn == MAX_ROUNDS or (turn > 0 and left <= PAIRS_PER_ROW * members)
-        if last:
-            other = rows.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"))
-            pairs = (rows.withColumnRenamed("rep", "a").join(other, "key")
-                     .where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("cb"))))
-        else:
-            leaders = rows.groupBy("key").agg(F.min(F.struct("rep", "comp")).alias("lead"))
-            rows = rows.join(leaders, "key")
-            pairs = (rows.where((F.col("comp") != F.col("lead.comp")))
-                     .select(F.col("lead.rep").alias("a"), F.col("rep").alias("b")))
-        links = land(confirmed(pairs.select("a", "b").distinct(), sets, percent), "minhash-links")
-        joined = _contract(joined, links)
-        if last:
-            break
-        # a leader has been compared with its whole bucket and leaves it
-        rows = rows.where(F.col("rep") != F.col("lead.rep")).select("key", "rep")
-        rows = land(_open_buckets(rows.join(joined, rows["rep"] == joined["node"]).select(
-            "key", "rep", F.col("component").alias("comp"))), "minhash-buckets")
-
-    member = classes.select("set_a", "set_b", "rep").join(joined, F.col("rep") == F.col("node")).select(
-        "set_a", "set_b", "component")
+    joined = components(land(cluster_links(sets, clusters, percent), "minhash-links"), "a", "b")
+    member = classes.select("set_a", "set_b", "rep").join(joined, F.col("rep") == F.col("node"), "left").select(
+        "set_a", "set_b", F.coalesce("component", "rep").alias("component"))
     out = scan.select("id", "n_shingles", "set_a", "set_b").join(member, ["set_a", "set_b"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component")),
                                                            F.col("id")))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
                       F.col("id").eqNullSafe(component).alias("kept"))
-
-
-def _contract(joined: DataFrame, links: DataFrame) -> DataFrame:
-    """Merge the components that ``links`` connect."""
-    of_a = joined.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    of_b = joined.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    between = links.join(of_a, "a").join(of_b, "b").where("ca <> cb").select("ca", "cb").distinct()
-    merged = components(between, "ca", "cb")
-    return land(joined.join(merged.select(F.col("node").alias("component"), F.col("component").alias("to")),
-                                   "component", "left").select(
-        "node", F.coalesce("to", "component").alias("component")), "minhash-components")
