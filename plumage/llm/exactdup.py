@@ -20,6 +20,9 @@ from plumage.session import scratch_path
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # commits write what changed instead of whole database files, and files are not preallocated
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 _STATE_SCHEMA = "digest binary, keep_id long, locator string, group_size long, batch long"
 
