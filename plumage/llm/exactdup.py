@@ -98,8 +98,9 @@ def _compared(hits: DataFrame) -> DataFrame:
     Rows that share a digest but not the bytes of its kept row form groups by
     their full text instead.
     """
-    kept = (hits.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest")
-            .agg(F.max("text").alias("_kept_text")))
+    # landed, so that the join below shuffles both sides and Spark may split a digest that is very frequent
+    kept = land(hits.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest")
+                .agg(F.max("text").alias("_kept_text")), "exact-dedup-kept")
     rows = land(hits.join(kept, "digest").withColumn("_same", F.col("text") == F.col("_kept_text"))
                        .withColumn("text", F.when(~F.col("_same"), F.col("text"))).drop("_kept_text"),
                        "exact-dedup-compared")

@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 
 from plumage.llm.common import land, tasks, text_or_empty
 
-# What is stripped from a line, and A-Z to a-z.
+# What is stripped from a line.
 STRIP = " \t\n\x0b\x0c\r"
-LOWER = {c: c + 32 for c in range(65, 91)}
 MIN_CHARS = 20
 MIN_DOCS = 3
 
@@ -35,10 +34,6 @@ _RUN_SCHEMA = _LINE_SCHEMA + ", open boolean"
 MARK = -1
 
 
-def line_key(line: str) -> str:
-    return line.strip(STRIP).translate(LOWER)
-
-
 def _rows(rows: list[tuple], names: tuple[str, ...]) -> pa.RecordBatch:
     kinds = {"h": pa.binary(), "id": pa.int64(), "row": pa.int64(), "pos": pa.int32(), "open": pa.bool_()}
     return pa.record_batch([pa.array(c, kinds[n]) for n, c in zip(names, zip(*rows))], list(names))
@@ -54,9 +49,9 @@ def _hash_lines(min_chars: int):
                 i, row = i.as_py(), row.as_py()
                 for p, line in enumerate(text.as_py().split("\n")):
                     if len(line) >= min_chars:
-                        key = line_key(line)
-                        if len(key) >= min_chars:
-                            found.append((xxhash.xxh3_128_digest(key.encode()), i, row, p))
+                        key = line.strip(STRIP)
+                        if len(key) >= min_chars:  # lower() of bytes changes A-Z alone
+                            found.append((xxhash.xxh3_128_digest(key.encode().lower()), i, row, p))
                 if len(found) >= 50_000:
                     yield _rows(found, names)
                     found = []
