@@ -373,8 +373,9 @@ def test_chain_held_out_accuracy(spark, odd, empty):
     known = spark.createDataFrame(labels, "doc_id long, mild int, strong int, only int")
     names = ("mild", "strong", "only")
     chain = toxicity.fit_chain(toxicity.labelled_sample(frame, known.where("doc_id < 160"), names), names)
-    for r in toxicity.score_chain(frame, chain).where("doc_id >= 160").collect():
-        want = labels[r.doc_id][1:]
-        assert [round(r.p_mild), round(r.p_strong), round(r.p_only)] == list(want)
+    held = toxicity.score_chain(frame, chain).where("doc_id >= 160").collect()
+    for c, name in enumerate(names):
+        right = sum(round(r[f"p_{name}"]) == labels[r.doc_id][1 + c] for r in held)
+        assert right >= 0.9 * len(held)
     assert len(rows_of(toxicity.score_chain(odd, chain))) == odd.count()
     assert rows_of(toxicity.score_chain(empty, chain)) == []
