@@ -21,9 +21,11 @@ def split_fraction(key: Column | str, seed: int = 46) -> Column:
 
 
 def split_label(key: Column | str, train_fraction: float = 0.7, seed: int = 46) -> Column:
-    return F.when(split_fraction(key, seed) < train_fraction, F.lit("train")).otherwise(F.lit("test"))
+    """``train`` or ``test``; NULL for a NULL key, which no split may claim."""
+    fraction = split_fraction(key, seed)
+    return F.when(fraction < train_fraction, F.lit("train")).when(fraction.isNotNull(), F.lit("test"))
 
 
 def split_label_sql(key: str, train_fraction: float = 0.7, seed: int = 46) -> str:
     frac = f"(('0x' || substr(md5('{seed}:' || cast({key} as varchar)), 1, 8))::bigint / {TWO_POW_32})"
-    return f"(case when {frac} < {train_fraction} then 'train' else 'test' end)"
+    return f"(case when {frac} < {train_fraction} then 'train' when {frac} is not null then 'test' end)"

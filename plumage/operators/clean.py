@@ -55,9 +55,11 @@ def trust_predicate(form: str = "train", labels: tuple[str, ...] = LABELS) -> Co
     raise ValueError(f"unknown filter form {form!r}")
 
 
-def trust_filter(df: DataFrame, form: str = "train", labels: tuple[str, ...] = LABELS,
+def trust_filter(df: DataFrame, form: Column | str = "train", labels: tuple[str, ...] = LABELS,
                  drop: bool = True) -> DataFrame:
-    out = df.where(trust_predicate(form, labels))
+    """Rows that pass: ``form`` is "train", "sweep", a Column or a predicate as SQL text."""
+    known = isinstance(form, str) and form in ("train", "sweep")
+    out = df.where(trust_predicate(form, labels) if known else form)
     return out.drop("gender_confidence", "gender_gold") if drop else out
 
 

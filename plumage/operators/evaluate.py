@@ -71,5 +71,7 @@ def metrics(confusion: DataFrame, label: str = "label", prediction: str = "predi
     groups = cells.select(*by).distinct()
     out = groups.join(agg, list(by), "left") if by else agg
     names = ["accuracy", "weighted_precision", "weighted_recall", "f1"]
-    out = out.select(*by, *[F.round(F.coalesce(F.col(c), F.lit(0.0)), digits).alias(c) for c in names])
-    return out.withColumns({f"{c}_pct": percent(c) for c in names})
+    exact = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in names}
+    # whole percents come from the unrounded metric: rounding twice can move one up
+    return out.select(*by, *[F.round(x, digits).alias(c) for c, x in exact.items()],
+                      *[percent(x).alias(f"{c}_pct") for c, x in exact.items()])

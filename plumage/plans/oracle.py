@@ -127,12 +127,13 @@ pr as (select p, sum(n) as predicted from c group by p),
 t as (select sum(n) as total from c),
 d as (select c.n, a.actual, pr.predicted, (select total from t) as total
       from c join a on c.l = a.l join pr on c.p = pr.p where c.l = c.p),
-m as (select round(sum(n) / max(total), 6) as accuracy,
-             round(sum(actual / total * (n / predicted)), 6) as weighted_precision,
-             round(sum(actual / total * (n / actual)), 6) as weighted_recall,
-             round(sum(actual / total * 2 * (n / predicted) * (n / actual)
-                       / ((n / predicted) + (n / actual))), 6) as f1 from d)
-select *, floor(accuracy * 100 + 0.5)::bigint as accuracy_pct,
+m as (select sum(n) / max(total) as accuracy,
+             sum(actual / total * (n / predicted)) as weighted_precision,
+             sum(actual / total * (n / actual)) as weighted_recall,
+             sum(actual / total * 2 * (n / predicted) * (n / actual)
+                 / ((n / predicted) + (n / actual))) as f1 from d)
+select round(accuracy, 6) as accuracy, round(weighted_precision, 6) as weighted_precision,
+       round(weighted_recall, 6) as weighted_recall, round(f1, 6) as f1, floor(accuracy * 100 + 0.5)::bigint as accuracy_pct,
        floor(weighted_precision * 100 + 0.5)::bigint as weighted_precision_pct,
        floor(weighted_recall * 100 + 0.5)::bigint as weighted_recall_pct,
        floor(f1 * 100 + 0.5)::bigint as f1_pct from m"""

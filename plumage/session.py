@@ -7,6 +7,7 @@ the caller's ``SparkSession``. ``local_session`` exists for tests and the bench.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -88,7 +89,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     target = df.sparkSession.sparkContext.defaultParallelism
     # A plan that already shuffles runs at the shuffle's parallelism; counting
     # its partitions through ``df.rdd`` would make AQE execute the shuffle stages.
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    # A shuffle is a plan node at the start of a line; columns and paths may hold the word.
+    if re.search(r"(?m)^[\s:+*()\d-]*Exchange \w+", df._jdf.queryExecution().executedPlan().toString()):
         return df
     if df.rdd.getNumPartitions() >= target:
         return df
@@ -96,13 +98,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 target_partition_bytes: int = 256 * 2**20,
-                 max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+                 target_partition_bytes: int = 256 * 2**20) -> dict[str, str]:
     """Settings for a cluster session, sized from the input and the cluster.
 
     Shuffles start with about one partition per ``target_partition_bytes`` of
-    input (at least two per core, at most ``max_shuffle_partitions``, which
-    bounds map x reduce shuffle blocks) and AQE coalesces them down to the
+    input (at least two per core) and AQE coalesces them down to the
     advisory size once real sizes are known, so reducers fit in executor memory
     without hand tuning per query. Skewed partitions over 4x the median and the
     advisory size are split by AQE; file splits stay at 128 MB so a scan task's
@@ -110,7 +110,7 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     the caller and point at shared storage.
     """
     cores = max(1, executors * cores_per_executor)
-    initial = min(max_shuffle_partitions, max(2 * cores, -(-input_bytes // target_partition_bytes)))
+    initial = max(2 * cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
