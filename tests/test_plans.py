@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as E
 from plumage.operators import features
 from plumage.plans import registry
+from plumage.plans.oracle import ORACLE
 from plumage.sources import csv as csvsrc
 from plumage.sources.tables import load_table
 
@@ -23,7 +24,7 @@ def _final_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_no_python_in_query_plans(spark, key):
     plan = _plan(E.queries()[key](spark, SF001))
     assert not any(n in plan for n in PYTHON_NODES), key
