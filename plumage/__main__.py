@@ -18,10 +18,11 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from plumage.operators.profile import describe_strings, preview_steps, stage_counts
 from plumage.operators.sweep import sweep
 from plumage.plans import jobs
 from plumage.session import ensure_checkpoint_dir
-from plumage.sources.csv import good_rows, scan_with_quarantine
+from plumage.sources.csv import good_rows, malformed_report, scan_with_quarantine
 
 
 def _raw(spark: SparkSession, path: str, key: str | None, multi_line: bool):
@@ -35,6 +36,11 @@ def _raw(spark: SparkSession, path: str, key: str | None, multi_line: bool):
     return scanned, good, key
 
 
+def _show(report, truncate: int | bool = False) -> None:
+    """Every row of a report (reports have a few rows per class, column or step)."""
+    report.show(max(1, report.count()), truncate)
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="plumage")
     ap.add_argument("program", choices=["train", "profile", "sweep"])
@@ -52,26 +58,26 @@ def main(argv: list[str] | None = None) -> None:
     scanned, good, key = _raw(spark, args.csv, args.key, args.multi_line)
 
     if args.program == "profile":
-        from plumage.operators.profile import describe_strings, preview_steps, stage_counts
-        from plumage.sources.csv import malformed_report
-
-        malformed_report(scanned).show()
+        keyed = good if key == "doc_id" else good.withColumnRenamed(key, "doc_id")
+        _show(malformed_report(scanned))
         cols = [c for c in good.columns if c != key]
-        describe_strings(good, cols).show(len(cols), truncate=40)
-        stage_counts(good.withColumnRenamed(key, "doc_id")).show()
-        preview_steps(good.withColumnRenamed(key, "doc_id")).show(40, truncate=20)
-        return
-
-    form = "train" if args.program == "train" else "sweep"
-    clean = jobs.clean_raw(good, form, key)
-    if args.program == "train":
+        for mode, rows in (("permissive", scanned), ("dropmalformed", good)):
+            _show(describe_strings(rows, cols).withColumn("mode", F.lit(mode)), 40)
+        _show(stage_counts(keyed))
+        _show(preview_steps(keyed), 20)
+
+    form = "sweep" if args.program == "sweep" else "train"
+    cleaned = jobs.clean_raw(good, form, key)
+    _show(jobs.dropped(cleaned).groupBy("reason", "split").count())
+    clean = jobs.usable(cleaned)
+    if args.program != "sweep":
         ev = jobs.train_evaluate_clean(clean, args.fit_on)
-        ev.metrics.show(truncate=False)
-        ev.matrix.show(100, truncate=False)
+        _show(ev.metrics)
+        _show(ev.matrix)
         return
     fs = jobs.build_features(clean, fit_on=args.fit_on)
     for algo in (["tree", "forest"] if args.algorithm == "both" else [args.algorithm]):
-        sweep(fs.features, algo).orderBy("sweep", "value").show(40, truncate=False)
+        _show(sweep(fs.features, algo).orderBy("sweep", "value"))
 
 
 if __name__ == "__main__":

@@ -2,9 +2,8 @@
 
 Contract: the value a strict base-16 ``int`` parse would give (optional sign,
 any number of leading zeros, no whitespace, must fit a signed 32-bit int), and
-0 for every input that does not parse, NULL included. Built from ``rlike`` +
-``regexp_extract`` + ``conv`` so it stays inside whole-stage codegen instead of
-a row-at-a-time UDF.
+0 for every input that does not parse, NULL included. Built from ``regexp_extract`` +
+``conv`` so it stays inside whole-stage codegen instead of a row-at-a-time UDF.
 """
 
 from __future__ import annotations
@@ -21,15 +20,10 @@ INT_MAX = 2**31 - 1
 
 def hex_to_int(col: Column | str) -> Column:
     s = F.col(col) if isinstance(col, str) else col
-    digits = F.regexp_extract(s, HEX_INT_PATTERN, 2)
+    digits = F.regexp_extract(s, HEX_INT_PATTERN, 2)  # '' when the input does not parse: conv gives NULL
     magnitude = F.conv(digits, 16, 10).cast("bigint")
-    signed = F.when(F.regexp_extract(s, HEX_INT_PATTERN, 1) == "-", -magnitude).otherwise(magnitude)
-    in_range = signed.between(F.lit(INT_MIN), F.lit(INT_MAX))
-    return (
-        F.when(s.rlike(HEX_INT_PATTERN) & in_range, signed)
-        .otherwise(F.lit(0))
-        .cast("int")
-    )
+    signed = magnitude * F.when(s.startswith("-"), -1).otherwise(1)
+    return F.coalesce(signed.try_cast("int"), F.lit(0))  # NULL beyond 32 bits
 
 
 def hex_to_int_sql(expr: str) -> str:

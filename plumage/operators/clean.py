@@ -16,9 +16,6 @@ from plumage.functions.text import normalize_text
 # The trusted class labels.
 LABELS = ("male", "female", "brand")
 
-RAW_COLUMNS = ("gender", "description", "link_color", "sidebar_color", "text",
-               "tweet_count", "gender_gold", "gender:confidence")
-
 
 def select_profile(df: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Keep the eight raw columns (plus row keys), cast and alias.
@@ -63,6 +60,18 @@ def trust_filter(df: DataFrame, form: Column | str = "train", labels: tuple[str,
     return out.drop("gender_confidence", "gender_gold") if drop else out
 
 
+def drop_reason(labels: tuple[str, ...] | None = None) -> Column:
+    """Why a filtered row cannot be trained on; NULL if it can.
+
+    The pipeline needs a label and a numeric count. ``labels`` allows only
+    those labels (default: any label that is not NULL).
+    """
+    why = F.when(F.col("gender").isNull(), "null_label")
+    if labels is not None:
+        why = why.when(~F.col("gender").isin(*labels), "label_not_allowed")
+    return why.when(F.col("tweet_count").isNull(), "null_count")
+
+
 def convert_colours(df: DataFrame) -> DataFrame:
     """Hex colours -> ints (``*_indexed``); raw colour columns dropped."""
     return (df.withColumn("link_color_indexed", hex_to_int("link_color"))

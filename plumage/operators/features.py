@@ -15,14 +15,13 @@ exact terms (no hashing), so DuckDB can check them:
   term present in every document (the empty token) is pre-aggregated per map
   task, so a hot term costs one partial row per task, not one row per document.
 * the corpus size N is a scalar subquery (one aggregate, used as a constant).
-* TF-IDF joins the per-(doc, term) table to the per-term table with
-  :func:`plumage.operators.joins.lookup_join`: broadcast under a counted
-  vocabulary bound, else a shuffle join whose hot terms are salted.
+* TF-IDF joins the per-(doc, term) table to the landed per-term table without
+  a hint: Spark broadcasts it only under its measured-size threshold, else
+  shuffles and splits hot terms by the adaptive skew join.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
@@ -34,12 +33,11 @@ from pyspark.ml.feature import (
     Tokenizer,
     VectorAssembler,
 )
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumage.functions.text import normalize_text, remove_stop_words, tokenize
-from plumage.operators.joins import lookup_join
+from plumage.session import cut_lineage
 
 NUM_FEATURES = 1000
 NUMERIC_INPUTS = ("link_color_indexed", "tweet_count", "sidebar_color_indexed")
@@ -52,7 +50,7 @@ FEATURES = "normalizedFeatures"
 # ---------------------------------------------------------------------------
 
 def token_stages(label_col: str = "gender", num_features: int = NUM_FEATURES,
-                 label_invalid: str = "skip") -> list:
+                 label_invalid: str = "error") -> list:
     """Stages up to hashed TF. Only the label indexer needs fitting."""
     stages = [StringIndexer(inputCol=label_col, outputCol=f"{label_col}_indexed",
                             handleInvalid=label_invalid)]
@@ -63,7 +61,7 @@ def token_stages(label_col: str = "gender", num_features: int = NUM_FEATURES,
     return stages
 
 
-def weighting_stages(feature_invalid: str = "skip") -> list:
+def weighting_stages(feature_invalid: str = "error") -> list:
     """IDF, assembly, scaling and normalisation (fitted on hashed TF)."""
     stages = [IDF(inputCol=f"hashingtf_{c[:4]}", outputCol=f"idf_{c[:4]}") for c in TEXT_INPUTS]
     stages.append(VectorAssembler(
@@ -76,14 +74,14 @@ def weighting_stages(feature_invalid: str = "skip") -> list:
 
 
 def feature_pipeline(label_col: str = "gender", num_features: int = NUM_FEATURES,
-                     label_invalid: str = "skip", feature_invalid: str = "skip") -> Pipeline:
+                     label_invalid: str = "error", feature_invalid: str = "error") -> Pipeline:
     """The reference's twelve stages as one ``Pipeline`` (single-shot fit)."""
     return Pipeline(stages=token_stages(label_col, num_features, label_invalid)
                     + weighting_stages(feature_invalid))
 
 
 def fit_and_featurize(df: DataFrame, label_col: str = "gender", num_features: int = NUM_FEATURES,
-                      label_invalid: str = "skip", feature_invalid: str = "skip",
+                      label_invalid: str = "error", feature_invalid: str = "error",
                       fit_on: str = "all", keep: tuple[str, ...] = ("doc_id", "split"),
                       sink=None) -> tuple[PipelineModel, DataFrame]:
     """Fit the pipeline in two phases and featurize, tokenising text once.
@@ -91,34 +89,31 @@ def fit_and_featurize(df: DataFrame, label_col: str = "gender", num_features: in
     ``Pipeline.fit`` followed by ``transform`` would tokenise and hash every
     document four times (once per later estimator: two IDFs and the scaler,
     and again to transform). Here phase one (label index + tokenise + stop
-    words + hashed TF) is materialised once as sparse TF vectors with the row
-    keys (MEMORY_AND_DISK); phase two (IDF x2, assembler, scaler, normaliser)
-    fits on it and transforms it. ``sink`` (e.g. a lineage cut) receives the
-    featurized rows before the phase-one table is released; without a sink the
-    returned rows are lazy and recompute from ``df`` when used.
+    words + hashed TF) is landed once as sparse TF vectors with the row keys in
+    the shared folder, so a lost executor re-reads it; phase two (IDF x2,
+    assembler, scaler, normaliser) fits on it and transforms it. ``sink`` (e.g.
+    a lineage cut) receives the featurized rows.
     ``fit_on='train'`` fits both phases on rows with ``split = 'train'`` only;
     the default ``'all'`` reproduces the reference, which fitted before
-    splitting.
+    splitting. A NULL label or number is an error unless ``*_invalid`` says
+    ``skip``; ``plumage.plans.jobs.usable`` removes and reports such rows.
     """
     fit_rows = (lambda d: d.where(F.col("split") == "train")) if fit_on == "train" else (lambda d: d)
     phase1 = Pipeline(stages=token_stages(label_col, num_features, label_invalid)).fit(fit_rows(df))
     cols = [c for c in keep if c in df.columns]
-    hashed = phase1.transform(df).select(
+    hashed = cut_lineage(phase1.transform(df).select(
         *cols, label_col, f"{label_col}_indexed", *NUMERIC_INPUTS,
         *[f"hashingtf_{c[:4]}" for c in TEXT_INPUTS],
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        phase2 = Pipeline(stages=weighting_stages(feature_invalid)).fit(fit_rows(hashed))
-        out = phase2.transform(hashed).select(*cols, label_col, f"{label_col}_indexed", FEATURES)
-        if sink is not None:
-            out = sink(out)
-    finally:
-        hashed.unpersist()
+    ), "hashed-tf")
+    phase2 = Pipeline(stages=weighting_stages(feature_invalid)).fit(fit_rows(hashed))
+    out = phase2.transform(hashed).select(*cols, label_col, f"{label_col}_indexed", FEATURES)
+    if sink is not None:
+        out = sink(out)
     return PipelineModel(stages=phase1.stages + phase2.stages), out
 
 
 def fit_features(df: DataFrame, label_col: str = "gender", num_features: int = NUM_FEATURES,
-                 label_invalid: str = "skip", feature_invalid: str = "skip",
+                 label_invalid: str = "error", feature_invalid: str = "error",
                  fit_on: str = "all") -> PipelineModel:
     """The fitted twelve-stage ``PipelineModel`` (see :func:`fit_and_featurize`)."""
     model, _ = fit_and_featurize(df, label_col, num_features, label_invalid, feature_invalid,
@@ -138,13 +133,29 @@ def featurize(df: DataFrame, model: PipelineModel, keep: tuple[str, ...] = ("doc
     return out.select(*cols, label_col, f"{label_col}_indexed", FEATURES)
 
 
+def vector_entries(col: str):
+    """The non-zero (pos, value) pairs of a vector column, as an array.
+
+    A sparse vector's own indices are used: no row is widened to a dense array.
+    """
+    v = F.unwrap_udt(F.col(col))
+    at = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    pairs = F.zip_with(at, v["values"], lambda pos, value: F.struct(pos.alias("pos"), value.alias("value")))
+    return F.filter(pairs, lambda e: e["value"] != 0.0)
+
+
+def explode_vector(df: DataFrame, col: str, keys: list[str]) -> DataFrame:
+    """(*keys, pos, value) for every non-zero entry of a vector column."""
+    return df.select(*keys, F.explode(vector_entries(col)).alias("_e")).select(*keys, "_e.pos", "_e.value")
+
+
 def vector_summary(df: DataFrame, col: str = FEATURES) -> DataFrame:
     """Width, active entries and L2 norm of a vector column (plain types)."""
-    arr = vector_to_array(F.col(col))
+    v = F.unwrap_udt(F.col(col))
     return df.withColumns({
-        "width": F.size(arr),
-        "n_active": F.size(F.filter(arr, lambda x: x != 0.0)),
-        "l2_norm": F.sqrt(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x)),
+        "width": F.when(v["type"] == 0, v["size"]).otherwise(F.size(v["values"])),
+        "n_active": F.size(F.filter(v["values"], lambda x: x != 0.0)),
+        "l2_norm": F.sqrt(F.aggregate(v["values"], F.lit(0.0), lambda acc, x: acc + x * x)),
     }).drop(col)
 
 
@@ -176,15 +187,9 @@ def inverse_document_frequency(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
     return dfreq.select("term", "df", F.log((n + 1.0) / (F.col("df") + 1.0)).alias("idf"))
 
 
-def tfidf(tf: DataFrame, idf: DataFrame, key: str = "doc_id", **join_options) -> DataFrame:
-    """(key, term, tf, idf, tfidf).
-
-    The per-term table is broadcast only under a counted row bound; beyond it
-    the join shuffles and splits hot terms into salt buckets sized by their
-    document frequency (see :func:`plumage.operators.joins.lookup_join`).
-    """
-    joined = lookup_join(tf, idf.select("term", "df", "idf"), "term", fact_rows_col="df",
-                         spread_by=[key], **join_options)
+def tfidf(tf: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, term, tf, idf, tfidf); the join strategy is Spark's, by measured bytes."""
+    joined = tf.join(idf.select("term", "idf"), "term")
     return joined.select(key, "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumage.functions.split import split_label
-from plumage.operators.clean import select_profile, trust_predicate
+from plumage.operators.clean import drop_reason, select_profile, trust_predicate
 
 
 def _stack(pairs: list[tuple[str, list[str]]], out_cols: list[str]) -> str:
@@ -40,36 +40,45 @@ def describe_long(df: DataFrame, cols: list[str] | None = None, digits: int = 6)
     )
 
 
-def describe_strings(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Long-form describe of string columns: non-null count, min, max."""
+def describe_strings(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
+    """Long-form describe of string columns, as ``describe()`` gives it: non-null count,
+    mean and sample stddev of the cells that are numbers, min and max as text."""
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.count(F.col(f"`{c}`")).alias(f"n{i}"), F.min(F.col(f"`{c}`")).alias(f"lo{i}"),
-                 F.max(F.col(f"`{c}`")).alias(f"hi{i}")]
+        x = F.col(f"`{c}`")
+        number = x.try_cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(number).alias(f"mean{i}"),
+                 F.stddev_samp(number).alias(f"sd{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     one = df.agg(*aggs)
-    pairs = [(c, [f"n{i}", f"lo{i}", f"hi{i}"]) for i, c in enumerate(cols)]
-    long = one.selectExpr(_stack(pairs, ["column_name", "n", "min_value", "max_value"]))
-    return long.withColumn("n", F.col("n").cast("long"))
+    pairs = [(c, [f"n{i}", f"mean{i}", f"sd{i}", f"lo{i}", f"hi{i}"]) for i, c in enumerate(cols)]
+    long = one.selectExpr(_stack(pairs, ["column_name", "n", "mean", "stddev", "min_value", "max_value"]))
+    return long.select("column_name", F.col("n").cast("long").alias("n"), F.round("mean", digits).alias("mean"),
+                       F.round("stddev", digits).alias("stddev"), "min_value", "max_value")
 
 
 def stage_counts(raw: DataFrame, key: str = "doc_id", train_fraction: float = 0.7,
                  seed: int = 46) -> DataFrame:
     """Row counts at each stage of the training job, in one aggregate pass.
 
-    read -> after the train-form filter -> after the sweep-form filter -> the
-    train and test parts of the train-form rows (hash split on ``key``).
+    read -> after the train-form filter -> after the sweep-form filter -> train-form
+    rows dropped for a NULL label or a NULL count (a row with both counts as the
+    first) -> the train and test parts of what is left (hash split on ``key``):
+    the rows that are really trained and scored.
     """
     p = select_profile(raw, (key,))
     kept = trust_predicate("train")
-    part = split_label(key, train_fraction, seed)
+    part, why = split_label(key, train_fraction, seed), drop_reason()
     one = p.agg(
         F.count(F.lit(1)).alias("read"),
         F.count_if(kept).alias("filtered_train_form"),
         F.count_if(trust_predicate("sweep")).alias("filtered_sweep_form"),
-        F.count_if(kept & (part == "train")).alias("train"),
-        F.count_if(kept & (part == "test")).alias("test"),
+        F.count_if(kept & (why == "null_label")).alias("dropped_null_label"),
+        F.count_if(kept & (why == "null_count")).alias("dropped_null_count"),
+        F.count_if(kept & why.isNull() & (part == "train")).alias("train"),
+        F.count_if(kept & why.isNull() & (part == "test")).alias("test"),
     )
-    names = ["read", "filtered_train_form", "filtered_sweep_form", "train", "test"]
+    names = ["read", "filtered_train_form", "filtered_sweep_form", "dropped_null_label",
+             "dropped_null_count", "train", "test"]
     long = one.selectExpr(_stack([(n, [n]) for n in names], ["stage", "n"]))
     return long.withColumn("n", F.col("n").cast("long"))
 
@@ -88,7 +97,8 @@ def preview_steps(raw: DataFrame, form: str = "train", key: str = "doc_id", n: i
     from plumage.operators.clean import (
         clean_text, convert_colours, final_projection, select_profile, trust_filter)
 
-    filtered = trust_filter(select_profile(raw, (key,)), form)
+    # the steps keep every row, so the first rows are taken once, before them
+    filtered = preview(trust_filter(select_profile(raw, (key,)), form), key, n)
     converted = convert_colours(filtered)
     cleaned = clean_text(converted)
     final = final_projection(cleaned, (key,))
@@ -96,7 +106,7 @@ def preview_steps(raw: DataFrame, form: str = "train", key: str = "doc_id", n: i
     def shape(df: DataFrame, step: str, raw_colours: bool) -> DataFrame:
         link = "link_color" if raw_colours else "link_color_indexed"
         side = "sidebar_color" if raw_colours else "sidebar_color_indexed"
-        return preview(df, key, n).select(
+        return df.select(
             F.lit(step).alias("step"), key, "gender", "description", "text", "tweet_count",
             F.col(link).cast("string").alias("link_color"),
             F.col(side).cast("string").alias("sidebar_color"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumage.functions.split import split_label
-from plumage.operators.clean import prepare
+from plumage.operators.clean import drop_reason, prepare
 from plumage.operators.evaluate import confusion_matrix, joint_confusion, metrics
 from plumage.operators.features import fit_and_featurize, featurize, fit_features, label_list
 from plumage.operators.models import decision_tree, random_forest, train, with_prediction
@@ -51,8 +51,18 @@ def clean_raw(raw: DataFrame, form: str = "train", key: str = "doc_id",
 
 def cleaned_profiles(spark: SparkSession, sf_dir: str, form: str = "train",
                      train_fraction: float = 0.7, seed: int = 46) -> DataFrame:
-    """:func:`clean_raw` over the ``profiles`` view of the driver tables."""
-    return clean_raw(profiles(spark, sf_dir), form, "doc_id", train_fraction, seed)
+    """:func:`usable` rows of :func:`clean_raw` over the ``profiles`` view of the driver tables."""
+    return usable(clean_raw(profiles(spark, sf_dir), form, "doc_id", train_fraction, seed))
+
+
+def usable(clean: DataFrame, allowed_labels: tuple[str, ...] | None = None) -> DataFrame:
+    """Rows the pipeline can take; :func:`dropped` lists the others."""
+    return clean.where(drop_reason(allowed_labels).isNull())
+
+
+def dropped(clean: DataFrame, allowed_labels: tuple[str, ...] | None = None) -> DataFrame:
+    """(doc_id, split, reason) of every filtered row that :func:`usable` leaves out."""
+    return clean.select("doc_id", "split", drop_reason(allowed_labels).alias("reason")).where("reason is not null")
 
 
 @dataclass
@@ -67,7 +77,7 @@ def build_features(clean: DataFrame, fit_on: str = "all", checkpoint: bool = Tru
     written to the shared folder (training and scoring then read Parquet)."""
     if checkpoint:
         model, feats = fit_and_featurize(clean, fit_on=fit_on,
-                                         sink=lambda d: cut_lineage(d, "features"))
+                                         sink=lambda d: cut_lineage(d, "features", partition_by="split"))
     else:
         model = fit_features(clean, fit_on=fit_on)
         feats = featurize(clean, model)

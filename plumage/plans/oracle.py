@@ -1,8 +1,9 @@
 """DuckDB SQL for each query key that plain SQL can express.
 
-Keys whose result depends on a trained model (decision_tree, random_forest,
-train_evaluate, compare_models, the sweeps) have no entry: they are checked on
-row counts by the driver and on invariants in the tests.
+Keys whose result depends on a model trained on profiles (decision_tree,
+random_forest, train_evaluate, compare_models, the sweeps) have no entry: their
+rows are checked on counts and invariants. The same jobs on labels made by a
+rule (:mod:`plumage.plans.rules`) have one.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from plumage.functions.hex import hex_to_int_sql
 from plumage.functions.split import split_label_sql
 from plumage.functions.text import ENGLISH_STOP_WORDS, sql_string_list
+from plumage.plans.rules import ORACLE as RULE_ORACLE
 from plumage.sources.tables import PROFILES_DUCKDB_SQL
 
 LABELS = "('male','female','brand')"
@@ -18,6 +20,8 @@ TRAIN = (f"((gender in {LABELS} and gender_confidence = 1.0) or gender_gold in {
 SWEEP = (f"gender in {LABELS} and (gender_gold in {LABELS} or gender_confidence = 1.0)"
          " and text is not null and description is not null")
 
+USABLE = "gender is not null and tweet_count is not null"
+
 
 def norm(expr: str) -> str:
     return rf"lower(regexp_replace({expr}, '[\W]', ' ', 'g'))"
@@ -69,7 +73,8 @@ def describe_strings() -> str:
     cols = ["gender", "gender_gold", "gender:confidence", "tweet_count", "link_color",
             "sidebar_color", "description", "text"]
     return f"with {PROFILES}\n" + _union([
-        f"""select '{c}' as column_name, count("{c}")::bigint as n, min("{c}") as min_value, """
+        f"""select '{c}' as column_name, count("{c}")::bigint as n, round(avg(try_cast("{c}" as double)), 6) as mean, """
+        f"""round(stddev_samp(try_cast("{c}" as double)), 6) as stddev, min("{c}") as min_value, """
         f"""max("{c}") as max_value from p""" for c in cols])
 
 
@@ -79,12 +84,14 @@ def stage_counts() -> str:
         "select 'read' as stage, count(*)::bigint as n from sel",
         f"select 'filtered_train_form', count(*)::bigint from sel where {TRAIN}",
         f"select 'filtered_sweep_form', count(*)::bigint from sel where {SWEEP}",
-        f"select 'train', count(*)::bigint from sel where {TRAIN} and {split} = 'train'",
-        f"select 'test', count(*)::bigint from sel where {TRAIN} and {split} = 'test'",
+        f"select 'dropped_null_label', count(*)::bigint from sel where {TRAIN} and gender is null",
+        f"select 'dropped_null_count', count(*)::bigint from sel where {TRAIN} and gender is not null and tweet_count is null",
+        f"select 'train', count(*)::bigint from sel where {TRAIN} and {USABLE} and {split} = 'train'",
+        f"select 'test', count(*)::bigint from sel where {TRAIN} and {USABLE} and {split} = 'test'",
     ])
 
 
-GOOD_LINE = "doc_id % 10 <> 0 and try_cast(tweet_count as double) is not null"
+GOOD_LINE = "doc_id % 10 not in (0, 5) and try_cast(tweet_count as double) is not null"
 
 def describe_csv_modes() -> str:
     perm = f"""perm as (select doc_id,
@@ -214,15 +221,42 @@ def hashing_tf_bucket_sql(t: str, num_features: int = 1000, seed: int = 42) -> s
     return f"(((({signed}) % {num_features}) + {num_features}) % {num_features})::INTEGER"
 
 
+def feature_pipeline_values() -> str:
+    """The 2,003-wide vectors rebuilt: counts per bucket, IDF, sample deviation, norm."""
+    tokens = _union([f"""select doc_id, {base} as base, case when t = '' then ['']
+            when rtrim(t, ' ') = '' then []::varchar[] else string_split(rtrim(t, ' '), ' ') end as toks
+            from (select doc_id, coalesce({col}, '') as t from u)""" for base, col in ((3, "text"), (1003, "description"))])
+    return f"""with {cleaned('train')},
+u as (select * from cleaned where {USABLE}),
+nd as (select count(*)::double as n from u),
+k as ({tokens}),
+e as (select doc_id, base, unnest(list_filter(toks, lambda x: not list_contains([{sql_string_list(ENGLISH_STOP_WORDS)}], x))) as term from k),
+b as (select term, {hashing_tf_bucket_sql('term')} as bucket from (select distinct term from e)),
+tf as (select doc_id, base + bucket as pos, count(*)::double as tf from e join b using (term) group by all),
+idf as (select pos, ln(((select n from nd) + 1) / (count(*) + 1)) as idf from tf group by pos),
+x as (select doc_id, pos, tf * idf as x from tf join idf using (pos)
+      union all select doc_id, 0, link_color_indexed::double from u
+      union all select doc_id, 1, tweet_count from u
+      union all select doc_id, 2, sidebar_color_indexed::double from u),
+m as (select pos, sum(x) / (select n from nd) as mean from x group by pos),
+sd as (select pos, sqrt((sum((x - mean) ** 2) + ((select n from nd) - count(*)) * any_value(mean) ** 2)
+                        / ((select n from nd) - 1)) as sd from x join m using (pos) group by pos),
+s as (select doc_id, pos, x / sd as s from x join sd using (pos) where sd > 0 and x <> 0),
+l as (select doc_id, sqrt(sum(s * s)) as norm from s group by doc_id)
+select doc_id, pos::integer as pos, round(s / norm, 6) as value from s join l using (doc_id)"""
+
+
 ORACLE: dict[str, str] = {
     # Spark's CSV reader maps an empty cell, quoted or not, to NULL (default
     # nullValue ""), so an empty string does not survive the round trip.
     "csv_scan_permissive": f"""with {PROFILES}
 select doc_id, gender, gender_gold, "gender:confidence" as gender_confidence, tweet_count,
-       nullif(link_color, '') as link_color, sidebar_color from p""",
+       nullif(link_color, '') as link_color, sidebar_color, nullif(description, '') as description,
+       nullif(text, '') as text from p""",
     "csv_infer_schema": f"""with {PROFILES}
 select doc_id, gender, gender_gold, try_cast("gender:confidence" as double) as gender_confidence,
-       tweet_count, nullif(link_color, '') as link_color, sidebar_color from p""",
+       tweet_count, nullif(link_color, '') as link_color, sidebar_color, nullif(description, '') as description,
+       nullif(text, '') as text from p""",
     "csv_scan_dropmalformed": f"""with {PROFILES}
 select doc_id, nullif(gender, '') as gender, nullif(gender_gold, '') as gender_gold,
        try_cast(tweet_count as double) as tweet_count, nullif(sidebar_color, '') as sidebar_color
@@ -275,14 +309,22 @@ from cleaned where tweet_count is not null""",
 select d.doc_id, d.lang, r.label_index as lang_index, r.label as lang_roundtrip
 from documents d join ranked r on d.lang = r.label""",
     "hash_split": f"select doc_id, {split_label_sql('doc_id')} as split from documents",
-    # train-form rows; NULL labels skipped by the indexer, NULL counts by the
-    # assembler; labels ranked by frequency then name; 3 + 1,000 + 1,000 wide; unit norm
+    # train-form rows without those of dropped_rows; labels ranked by frequency then name; 3 + 1,000 + 1,000 wide; unit norm
     "feature_pipeline": f"""with {cleaned('train')},
 ranked as (select gender, (row_number() over (order by count(*) desc, gender) - 1)::double as gender_indexed
            from cleaned where gender is not null group by gender)
 select c.doc_id, {split_label_sql('c.doc_id')} as split, c.gender, r.gender_indexed,
        2003 as width, 1.0::double as l2_norm
 from cleaned c join ranked r on c.gender = r.gender where c.tweet_count is not null""",
+    "feature_pipeline_values": feature_pipeline_values(),
+    "dropped_rows": f"""with {SEL}
+select doc_id, {split_label_sql('doc_id')} as split,
+       case when gender is null then 'null_label' else 'null_count' end as reason
+from sel where {TRAIN} and not ({USABLE})""",
+    **RULE_ORACLE,
+    "train_evaluate_rows": f"""with {SEL}
+select model, {split_label_sql('doc_id')} as split, gender, count(*)::bigint as n
+from sel, (values ('decision_tree'), ('random_forest')) as m(model) where {TRAIN} and {USABLE} group by all""",
     "confusion_matrix": f"with {GOLD}\nselect l as gender, p as predicted_gender, n::bigint as n from c",
     "eval_metrics": eval_metrics(),
 }

@@ -7,7 +7,6 @@ places. The matching DuckDB SQL lives in :mod:`plumage.plans.oracle`.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.ml.feature import (
@@ -31,7 +30,7 @@ from plumage.operators import clean, features, profile
 from plumage.operators.evaluate import confusion_matrix, joint_confusion, label_name, metrics
 from plumage.operators.models import decision_tree, random_forest, train, with_prediction
 from plumage.operators.sweep import sweep
-from plumage.plans import jobs
+from plumage.plans import jobs, rules
 from plumage.session import cut_lineage, scratch_path, spread
 from plumage.sources import csv as csvsrc
 from plumage.sources.tables import load_table, profiles
@@ -39,9 +38,11 @@ from plumage.sources.tables import load_table, profiles
 R = 6  # decimal places for doubles in results
 
 CSV_COLUMNS = ["doc_id", "gender", "gender_gold", "gender:confidence", "tweet_count",
-               "link_color", "sidebar_color"]
+               "link_color", "sidebar_color", "description", "text"]
+# quotes are doubled (RFC 4180) and blanks at the ends of cells kept
+CSV_DIALECT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 CSV_SCHEMA = ("doc_id bigint, gender string, gender_gold string, `gender:confidence` string, "
-              "tweet_count string, link_color string, sidebar_color string")
+              "tweet_count string, link_color string, sidebar_color string, description string, text string")
 LINE_COLUMNS = ["doc_id", "gender", "gender_gold", "tweet_count", "sidebar_color"]
 LINE_SCHEMA = "doc_id bigint, gender string, gender_gold string, tweet_count double, sidebar_color string"
 LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -58,30 +59,33 @@ def _rename_conf(df: DataFrame) -> DataFrame:
 # --- sources ---------------------------------------------------------------
 
 def _profiles_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Write the profiles' short columns as a headed CSV under the shared folder."""
+    """Write the whole profiles as a headed CSV under the shared folder: the long
+    columns bring commas, quotes and line breaks within cells."""
     path = scratch_path(spark, "profiles-csv")
     profiles(spark, sf_dir).select(*[F.col(f"`{c}`") for c in CSV_COLUMNS]) \
-        .write.option("header", True).csv(path)
+        .write.options(header=True, **CSV_DIALECT).csv(path)
     return path
 
 
 def q_csv_scan_permissive(spark, sf_dir):
     path = _profiles_csv(spark, sf_dir)
-    return _rename_conf(csvsrc.read_csv(spark, path, CSV_SCHEMA, header=True))
+    return _rename_conf(csvsrc.read_csv(spark, path, CSV_SCHEMA, header=True, multi_line=True, **CSV_DIALECT))
 
 
 def q_csv_infer_schema(spark, sf_dir):
     path = _profiles_csv(spark, sf_dir)
-    df = csvsrc.read_csv(spark, path, header=True, infer_schema=True)
+    df = csvsrc.read_csv(spark, path, header=True, infer_schema=True, multi_line=True, **CSV_DIALECT)
     return _rename_conf(df.withColumn("doc_id", F.col("doc_id").cast("bigint")))
 
 
 def _malformed_lines(spark: SparkSession, sf_dir: str) -> str:
-    """Header-less CSV lines; every row with doc_id % 10 = 0 is cut to two cells."""
+    """Header-less CSV lines; rows with doc_id % 10 = 0 are cut to two cells, rows
+    with doc_id % 10 = 5 have a cell too many."""
     path = scratch_path(spark, "profiles-lines")
     p = profiles(spark, sf_dir)
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in LINE_COLUMNS]
     line = F.when(F.col("doc_id") % 10 == 0, F.concat_ws(",", *cells[:2])) \
+        .when(F.col("doc_id") % 10 == 5, F.concat_ws(",", *cells, F.lit("extra"))) \
         .otherwise(F.concat_ws(",", *cells))
     p.select(line.alias("value")).write.text(path)
     return path
@@ -128,7 +132,9 @@ def q_stage_counts(spark, sf_dir):
 
 
 def q_preview_top10(spark, sf_dir):
-    return profile.preview(clean.prepare(profiles(spark, sf_dir), "train"), "doc_id", 10)
+    """The ten rows are taken before the per-row cleaning, which keeps every row."""
+    kept = clean.trust_filter(clean.select_profile(profiles(spark, sf_dir)), "train")
+    return clean.final_projection(clean.clean_text(clean.convert_colours(profile.preview(kept, "doc_id", 10))))
 
 
 # --- projections, filters, scalar functions --------------------------------
@@ -205,8 +211,7 @@ def q_term_frequency(spark, sf_dir):
 def q_hashing_tf(spark, sf_dir):
     tf = HashingTF(numFeatures=features.NUM_FEATURES, inputCol="removed", outputCol="tf") \
         .transform(_ml_removed(spark, sf_dir))
-    arr = vector_to_array("tf")
-    return tf.select("doc_id", F.posexplode(arr).alias("bucket", "tf")).where(F.col("tf") != 0)
+    return features.explode_vector(tf, "tf", ["doc_id"]).toDF("doc_id", "bucket", "tf")
 
 
 def _idf(spark, sf_dir, materialize: bool):
@@ -227,7 +232,7 @@ def q_idf(spark, sf_dir):
 
 def q_tfidf(spark, sf_dir):
     tf, idf = _idf(spark, sf_dir, materialize=True)
-    return features.tfidf(tf, idf).withColumns({"idf": F.round("idf", R), "tfidf": F.round("tfidf", R)})
+    return features.tfidf(tf, cut_lineage(idf, "idf")).withColumns({"idf": F.round("idf", R), "tfidf": F.round("tfidf", R)})
 
 
 def q_assemble_features(spark, sf_dir):
@@ -238,7 +243,7 @@ def q_assemble_features(spark, sf_dir):
 
 def _lineitem_scaled(spark, sf_dir, normalize: bool) -> DataFrame:
     li = load_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *LINEITEM_NUMERIC)
-    li = spread(li, "l_orderkey")  # vector stages are per-row work: use every core
+    li = spread(li, "l_orderkey", "l_linenumber")  # vector stages are per-row work: use every core
     v = VectorAssembler(inputCols=LINEITEM_NUMERIC, outputCol="v").transform(li)
     s = StandardScaler(inputCol="v", outputCol="s", withMean=False, withStd=True).fit(v).transform(v)
     out = "s"
@@ -294,6 +299,17 @@ def _single_model(spark, sf_dir, name):
                          label_name(fs.labels, f"pred_{name}").alias("predicted_gender"))
 
 
+def q_feature_pipeline_values(spark, sf_dir):
+    """Every non-zero value of every finished feature vector."""
+    fs = jobs.build_features(jobs.cleaned_profiles(spark, sf_dir, "train"))
+    return features.explode_vector(fs.features, features.FEATURES, ["doc_id"]).withColumn("value", F.round("value", R))
+
+
+def q_dropped_rows(spark, sf_dir):
+    """Filtered rows that are not trained on, with the reason."""
+    return jobs.dropped(jobs.clean_raw(profiles(spark, sf_dir), "train"))
+
+
 def q_decision_tree(spark, sf_dir):
     return _single_model(spark, sf_dir, "decision_tree")
 
@@ -380,6 +396,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "index_to_string": q_index_to_string,
     "hash_split": q_hash_split,
     "feature_pipeline": q_feature_pipeline,
+    "feature_pipeline_values": q_feature_pipeline_values,
+    "dropped_rows": q_dropped_rows,
     "decision_tree": q_decision_tree,
     "random_forest": q_random_forest,
     "train_evaluate": q_train_evaluate,
@@ -388,8 +406,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "eval_metrics": q_eval_metrics,
     "sweep_decision_tree": q_sweep_decision_tree,
     "sweep_random_forest": q_sweep_random_forest,
+    **rules.QUERIES,
 }
-
-
-def sf_path(sf: str) -> str:
-    return os.path.join("/root/testdata", f"sf{sf}")

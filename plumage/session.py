@@ -65,17 +65,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "cut", partition_by: str | None = None) -> DataFrame:
     """Materialise ``df`` as Parquet in the shared checkpoint folder, read it back.
 
     A written table cuts the lineage like a reliable checkpoint (a lost
     executor re-reads files instead of replaying CSV parsing, text cleaning and
     feature fitting), but is columnar and compressed, so later readers prune
     columns. Column metadata (ML attributes, vector types) is kept in the
-    Parquet footer.
+    Parquet footer. ``partition_by`` names a column of few values that readers
+    filter on: they then skip the other values' files.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -1,7 +1,7 @@
 """Sources: driver Parquet tables, the profiles view, CSV with quarantine."""
 
 from plumage.sources.csv import bad_rows, good_rows, malformed_report, read_csv, scan_with_quarantine
-from plumage.sources.tables import TABLES, load_table, profiles, profiles_sql
+from plumage.sources.tables import TABLES, load_table, profiles
 
 __all__ = [
     "TABLES",
@@ -10,7 +10,6 @@ __all__ = [
     "load_table",
     "malformed_report",
     "profiles",
-    "profiles_sql",
     "read_csv",
     "scan_with_quarantine",
 ]

@@ -60,8 +60,3 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     return docs.sparkSession.sql(PROFILES_SPARK_SQL.format(src="{src}"), src=docs)
-
-
-def profiles_sql() -> str:
-    """DuckDB form of :func:`profiles`, usable as a CTE body."""
-    return PROFILES_DUCKDB_SQL

@@ -20,5 +20,5 @@ def test_raw_csv_runs_the_train_program(spark):
     # the row-hash key is stable across reads
     again = _raw(spark, path, None, multi_line=True)[1]
     assert sorted(r.doc_id for r in good.collect()) == sorted(r.doc_id for r in again.collect())
-    ev = jobs.train_evaluate_clean(jobs.clean_raw(good, "train", key))
+    ev = jobs.train_evaluate_clean(jobs.usable(jobs.clean_raw(good, "train", key)))
     assert ev.metrics.count() == 4

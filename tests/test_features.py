@@ -7,7 +7,6 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from plumage.operators import features
-from plumage.operators.joins import lookup_join
 from plumage.plans import jobs
 from plumage.sources.tables import load_table
 
@@ -60,28 +59,32 @@ def test_hashed_tf_sums_to_token_count(spark):
     assert s.where(F.col("n") != F.col("t")).count() == 0
 
 
-def test_lookup_join_salted_path_equals_broadcast(spark):
-    docs = load_table(spark, SF001, "documents").select("doc_id", "text")
-    tf = features.term_frequency(docs)
-    idf = features.inverse_document_frequency(tf, features.corpus_size(docs))
-    small = features.tfidf(tf, idf)
-    # force the shuffle path with tiny buckets so the hot terms are salted
-    salted = features.tfidf(tf, idf, max_broadcast_rows=10, rows_per_bucket=5, max_hot_keys=10**9)
-    a = sorted((r.doc_id, r.term, r.tf, round(r.tfidf, 9)) for r in small.collect())
-    b = sorted((r.doc_id, r.term, r.tf, round(r.tfidf, 9)) for r in salted.collect())
-    assert a == b and len(a) > 0
-    plan = salted._jdf.queryExecution().executedPlan().toString()
-    # the salted path joins on (term, __salt); AQE may still turn that join into
-    # a broadcast at run time when the measured sides are tiny, as here
-    assert "__salt" in plan and "sequence(0" in plan
-
-
-def test_lookup_join_without_frequency_column(spark):
-    fact = spark.range(0, 2000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
-    dim = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, name string")
-    out = lookup_join(fact, dim, "k", max_broadcast_rows=1, rows_per_bucket=100)
-    assert out.count() == 2000
-    assert out.groupBy("name").count().orderBy("name").collect()[0]["count"] == 667
+def test_vector_entries_of_sparse_and_dense_vectors(spark):
+    df = spark.createDataFrame([(1, Vectors.sparse(5, [1, 4], [2.0, 0.0])), (2, Vectors.dense([0.0, 3.0])),
+                                (3, Vectors.sparse(4, [], []))], ["id", "v"])
+    got = {(r.id, r.pos, r.value) for r in features.explode_vector(df, "v", ["id"]).collect()}
+    assert got == {(1, 1, 2.0), (2, 1, 3.0)}
+    assert [r.width for r in features.vector_summary(df, "v").orderBy("id").collect()] == [5, 2, 4]
+
+
+def test_tfidf_names_no_join_strategy(spark):
+    tf = spark.createDataFrame([(1, "a", 1), (2, "a", 3), (1, "b", 2)], "doc_id long, term string, tf long")
+    idf = features.inverse_document_frequency(tf, spark.createDataFrame([(2,)], "n_docs long"))
+    out = features.tfidf(tf, idf)
+    assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()
+    assert {(r.doc_id, r.term): round(r.tfidf, 6) for r in out.collect()} == {
+        (1, "a"): 0.0, (2, "a"): 0.0, (1, "b"): 0.81093}
+
+
+def test_invalid_rows_are_an_error_unless_left_out(spark):
+    clean = jobs.clean_raw(jobs.profiles(spark, SF01), "train")
+    with pytest.raises(Exception, match="NULL value"):
+        jobs.build_features(clean)
+    n, out = clean.count(), jobs.dropped(clean)
+    assert {r.reason for r in out.select("reason").distinct().collect()} <= {"null_label", "null_count"}
+    assert out.count() + jobs.usable(clean).count() == n
+    only = jobs.usable(clean, ("male", "female", "brand"))
+    assert {r.gender for r in only.select("gender").distinct().collect()} <= {"male", "female", "brand"}
 
 
 def test_feature_pipeline_width_and_norm(spark):
@@ -108,28 +111,6 @@ def test_feature_pipeline_twophase_equals_single_pipeline(spark):
         assert c[k] == pytest.approx(b[k], abs=1e-12)
 
 
-def test_hot_key_is_split_into_bounded_buckets(spark):
-    from plumage.operators.joins import salt_hot_keys
-
-    n = 30000
-    # key 0 holds a third of all rows; the rest spread over 2,000 keys
-    fact = spark.range(n).select(
-        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 2000 + 1).alias("k"),
-        F.col("id").alias("row_id"))
-    dim = spark.range(0, 2001).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    key_rows = fact.groupBy("k").agg(F.count(F.lit(1)).alias("__rows"))
-    sf, sd = salt_hot_keys(fact, dim, "k", key_rows, n, ["row_id"], rows_per_bucket=1000,
-                           max_hot_keys=100)
-    sizes = sf.groupBy("k", "__salt").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 1300      # ~1000 per bucket, hash jitter
-    assert sf.where(F.col("k") == 0).select("__salt").distinct().count() == 10
-    assert sd.where(F.col("k") == 0).count() == 10              # dim row replicated per bucket
-    assert sd.where(F.col("k") == 5).count() == 1
-    joined = sf.join(sd, ["k", "__salt"])
-    assert joined.count() == n
-    assert joined.where(F.col("v") != F.col("k") * 10).count() == 0
-
-
 def test_features_do_not_depend_on_layout(spark):
     clean = jobs.cleaned_profiles(spark, SF001, "sweep")
     a = jobs.build_features(clean).features

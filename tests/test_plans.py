@@ -16,12 +16,15 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroup
 
 
 def _plan(df) -> str:
+    """Before execution: what Spark plans without measured sizes."""
     return df._jdf.queryExecution().executedPlan().toString()
 
 
 def _final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    df._jdf.queryExecution().toRdd().count()  # runs this very plan: AQE's final form
+    plan = _plan(df)
+    assert "isFinalPlan=false" not in plan
+    return plan.split("== Initial Plan ==")[0]
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
@@ -37,7 +40,7 @@ def test_profiles_scan_reads_only_needed_columns(spark):
     # colours derive from md5(doc_id) only: the text column is never read
     assert read_schema(registry.q_hex_to_int(spark, SF001)) == ["struct<doc_id:bigint>"]
     assert read_schema(registry.q_stage_counts(spark, SF001)) == [
-        "struct<doc_id:bigint,text:string,lang:string>"]
+        "struct<doc_id:bigint,text:string,lang:string,n_chars:bigint>"]
 
 
 def test_good_rows_read_prunes_the_bad_partition(spark):
@@ -46,15 +49,17 @@ def test_good_rows_read_prunes_the_bad_partition(spark):
     assert "PartitionFilters: [isnotnull(is_malformed" in plan
 
 
-def test_tfidf_broadcasts_only_the_vocabulary(spark):
-    docs = load_table(spark, SF001, "documents").select("doc_id", "text")
-    tf = features.term_frequency(docs)
-    idf = features.inverse_document_frequency(tf, features.corpus_size(docs))
-    plan = _final_plan(features.tfidf(tf, idf))
-    assert "BroadcastHashJoin" in plan
-    # the build side is the per-term table (the right side), not the TF table
-    join_line = [line for line in plan.splitlines() if "BroadcastHashJoin" in line][0]
-    assert "BuildRight" in join_line
+def test_fit_reads_only_the_train_files(spark):
+    from plumage.plans import rules
+
+    fs = rules.rule_features(spark, SF001, rules.SIDE_COLUMNS, rules.SIDE_RULE)
+    assert "PartitionFilters: [isnotnull(split" in _plan(fs.features.where("split = 'train'"))
+
+
+def test_preview_takes_the_rows_before_cleaning_them(spark):
+    lines = _plan(registry.q_preview_top10(spark, SF001)).splitlines()
+    assert any("TakeOrderedAndProject" in line for line in lines)  # projects what it has taken
+    assert not any("regexp_replace" in line for line in lines if "TakeOrderedAndProject" not in line)
 
 
 def test_term_frequency_needs_at_most_one_shuffle(spark):
