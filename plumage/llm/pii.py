@@ -38,8 +38,9 @@ WORD = r"\p{L}{3,}"
 
 #: Characters on either side of an entity whose words count as its context.
 CONTEXT = 80
-#: Documents an entity and a term must share before they are judged.
-SUPPORT = 3
+#: G2 (log-likelihood ratio, 1 degree of freedom) an entity and a term must reach
+#: to count as associated: 1 %. One common document suffices from 11 documents on.
+SIGNIFICANT = 6.63
 #: Share of the entity's information a term may disclose: over the first it is
 #: generalised, over the second removed.
 GENERALISE, REMOVE = 0.7, 0.95
@@ -128,19 +129,28 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(F.explode(found).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
 
 
+def _g2(both: Column, entity: Column, term: Column, n: Column) -> Column:
+    """Log-likelihood ratio of the 2 x 2 table of documents with and without the entity and the term."""
+    def cell(seen: Column, row: Column, col: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen * n / (row * col))).otherwise(0.0)
+    return 2 * (cell(both, entity, term) + cell(entity - both, entity, n - term)
+                + cell(term - both, n - entity, term) + cell(n - entity - term + both, n - entity, n - term))
+
+
 def disclosures(docs: DataFrame, mentions: DataFrame, terms: DataFrame, text_col: str = "text",
-                support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+                significant: float = SIGNIFICANT, generalise: float = GENERALISE) -> DataFrame:
     """(kind, entity, term, share): terms that disclose at least ``generalise`` of an entity.
 
     share = PMI(entity; term) / IC(entity), with probabilities over documents:
     PMI = log(n_both * N / (n_entity * n_term)), IC = log(N / n_entity). An
-    entity that every document holds has no information to disclose.
+    entity that every document holds has no information to disclose. Entities
+    of one document are judged like all others.
     """
     entity = ["kind", "entity"]
     lowered = mentions.where("entity is not null").select("uid", "kind", F.lower("entity").alias("entity"))
     n_entity = lowered.distinct().groupBy(*entity).agg(F.count(F.lit(1)).alias("n_entity"))
     both = (terms.select("uid", *entity, "term").distinct().groupBy(*entity, "term")
-            .agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support))
+            .agg(F.count(F.lit(1)).alias("n_both")))
     both = land(both, "pii-pairs")
     wanted = both.select("term").distinct()
     n_term = document_frequencies(docs, text_col).join(wanted, "term")
@@ -148,10 +158,11 @@ def disclosures(docs: DataFrame, mentions: DataFrame, terms: DataFrame, text_col
     pmi = F.log(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
     share = pmi / F.log(n / F.col("n_entity"))
     return (both.join(n_entity, entity).join(n_term, "term").where(F.col("n_entity") < n)
+            .where(_g2(F.col("n_both"), F.col("n_entity"), F.col("n_term"), n) >= significant)
             .withColumn("share", share).where(F.col("share") >= generalise).select(*entity, "term", "share"))
 
 
-def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
+def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", significant: float = SIGNIFICANT,
                     generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """(id, row, spans) for every row of ``docs``; spans are (start, rank, kind, end, action).
 
@@ -165,7 +176,7 @@ def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     mentions = land(entity_mentions(docs, id_col, text_col), "pii-mentions")
     terms = land(context_terms(mentions), "pii-terms")
-    bad = land(disclosures(docs, mentions, terms, text_col, support, generalise), "pii-disclosures")
+    bad = land(disclosures(docs, mentions, terms, text_col, significant, generalise), "pii-disclosures")
     rank = reduce(lambda a, i: a.when(F.col("kind") == KINDS[i], i), range(len(KINDS)),
                   F.when(F.col("kind") == TERM, len(KINDS)))
     added = (terms.join(bad, ["kind", "entity", "term"])

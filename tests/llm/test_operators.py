@@ -164,6 +164,14 @@ def test_pii_terms_that_disclose(spark):
     assert clean[0] == "the agent [TERM] [TERM] [EMAIL] on weekdays" and clean[12] == docs[6][1]
 
 
+def test_pii_terms_of_an_entity_in_one_document(spark):
+    docs = [(0, "the agent zebedee uses zeb@secret.org on weekdays")]
+    docs += [(10 + i, f"the agent number {i} works on weekdays") for i in range(40)]
+    spans = pii.sensitive_spans(spark.createDataFrame(docs, "doc_id long, text string"))
+    found = {r.doc_id: {(s.start, s.end, s.action) for s in r.spans if s.kind == "term"} for r in spans.collect()}
+    assert found.pop(0) == {(10, 17, "remove"), (18, 22, "remove")} and not any(found.values())
+
+
 # --- 4 packing ----------------------------------------------------------------------
 
 def test_packing_round_trip(odd, empty):
