@@ -1,21 +1,25 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions only.
 
 Personal data that has a form (e-mail, IP, card and phone numbers) is found by
-patterns; these are the protected entities. Words near an entity may give it
-away although they have no form: over the whole corpus, the pointwise mutual
-information of a term and an entity says how many bits the term discloses, the
-entity's own information content how many there are. A term that discloses most
-of it is removed, one that discloses a good part is generalised.
+patterns; these are the protected entities. Words that share documents with an
+entity may give it away although they have no form: over the whole corpus, the
+pointwise mutual information of a term and an entity says how many bits the term
+discloses, the entity's own information content how many there are. A term that
+discloses most of it is removed, one that discloses a good part is generalised,
+wherever the corpus has that term.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from plumage.functions.text import let
 from plumage.llm.common import land, text_or_empty
 
 # The kinds in their order, and the forms searched for. Each
@@ -36,14 +40,17 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 WORD = r"\p{L}{3,}"
 
-#: Characters on either side of an entity whose words count as its context.
-CONTEXT = 80
+#: Words of a text that are placed at once.
+CHUNK = 64
 #: G2 (log-likelihood ratio, 1 degree of freedom) an entity and a term must reach
 #: to count as associated: 1 %. One common document suffices from 11 documents on.
 SIGNIFICANT = 6.63
 #: Share of the entity's information a term may disclose: over the first it is
 #: generalised, over the second removed.
 GENERALISE, REMOVE = 0.7, 0.95
+_BLOOM = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+          "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+          "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g"}
 
 
 def _found(kind: str) -> tuple[Column, Column]:
@@ -78,10 +85,9 @@ def _holds(kind: Column, match: Column) -> Column:
 def entity_mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every pattern match, and one row without a match for documents that have none.
 
-    (uid, id, row, kind, entity, start, end, left, right): offsets in code
-    points, end exclusive; left and right are up to CONTEXT characters of the
-    text on either side. ``uid`` numbers the rows of ``docs``, ``row`` hashes the
-    text. NULL texts are empty.
+    (uid, id, row, kind, entity, start, end): offsets in code points, end
+    exclusive. ``uid`` numbers the rows of ``docs``, ``row`` hashes the text.
+    NULL texts are empty.
     """
     base = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("id"),
                        text_or_empty(text_col).alias("text"))
@@ -93,40 +99,74 @@ def entity_mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.filter(F.array(*kinds), lambda k: F.size(k["matches"]) > 0)).alias("k"))
     rows = per_kind.select("uid", "id", "row", F.col("k.kind").alias("kind"), F.posexplode_outer(F.transform(
         "k.matches", lambda m, i: F.struct(
-            m.alias("entity"), F.length(F.get("k.pieces", i)).alias("gap"),
-            F.substring(F.get("k.pieces", i), -CONTEXT, CONTEXT).alias("left"),
-            F.substring(F.get("k.pieces", i + 1), 1, CONTEXT).alias("right")))).alias("pos", "m"))
+            m.alias("entity"), F.length(F.get("k.pieces", i)).alias("gap")))).alias("pos", "m"))
     rows = rows.select("uid", "id", "row", "kind", "pos", "m.*")
     before = Window.partitionBy("uid", "kind").orderBy("pos")
     size = F.length("entity")
     rows = rows.withColumn("end", F.sum(F.col("gap") + size).over(before)).withColumn("start", F.col("end") - size)
     good = F.col("entity").isNotNull() & _holds(F.col("kind"), F.col("entity"))
-    kept = [F.when(good, F.col(c)).alias(c) for c in ("kind", "entity", "start", "end", "left", "right")]
+    kept = [F.when(good, F.col(c)).alias(c) for c in ("kind", "entity", "start", "end")]
     return rows.select("uid", "id", "row", *kept)
 
 
-def context_terms(mentions: DataFrame) -> DataFrame:
-    """(uid, id, row, kind, entity, term, start, end) of the words around each entity."""
-    def words(side: str, origin: Column) -> Column:
-        found = F.regexp_extract_all(F.col(side), F.lit(WORD), F.lit(0))
-        gaps = F.transform(F.split(F.col(side), WORD, -1), F.length)
-        # a side has a few dozen words at most
-        return F.transform(found, lambda w, i: F.struct(
-            F.lower(w).alias("term"),
-            (origin + F.aggregate(F.slice(gaps, F.lit(1), i + 1), F.lit(0), lambda a, g: a + g)
-             + F.aggregate(F.slice(found, F.lit(1), i), F.lit(0), lambda a, x: a + F.length(x))).alias("start"),
-            F.length(w).alias("n")))
-    sides = F.concat(words("left", F.col("start") - F.length("left")), words("right", F.col("end")))
-    seen = mentions.where("entity is not null").select("uid", "id", "row", "kind", F.lower("entity").alias("entity"),
-                                                       F.explode(sides).alias("t"))
-    return seen.select("uid", "id", "row", "kind", "entity", "t.term", F.col("t.start").cast("long").alias("start"),
-                       (F.col("t.start") + F.col("t.n")).cast("long").alias("end"))
+def _words(text: Column) -> Column:
+    """The distinct words of a text, lower-cased."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
+
+
+def word_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, row, term, start, end) of every word of every text.
+
+    A text is cut into chunks of CHUNK words and each is placed from its own
+    start, so that the work stays in proportion to the text.
+    """
+    text = F.col("text")
+    base = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
+    # one gap more than words: the last follows the last word
+    words = F.zip_with(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)),
+                       F.transform(F.split(text, WORD, -1), F.length),
+                       lambda w, gap: F.struct(F.lower(w).alias("term"), F.coalesce(F.length(w), F.lit(0)).alias("n"),
+                                               gap.alias("gap")))
+    chunks = let(words, lambda w: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(w) - 1) / CHUNK).cast("int")),
+        lambda c: F.slice(w, c * CHUNK + 1, F.lit(CHUNK))))
+    zero = F.lit(0).cast("long")
+    size = lambda chunk: F.aggregate(chunk, zero, lambda total, w: total + w["gap"] + w["n"])
+    none = F.array().cast("array<struct<at:bigint,words:array<struct<term:string,n:int,gap:int>>>>")
+    placed = F.aggregate(chunks, F.struct(zero.alias("at"), none.alias("out")), lambda acc, chunk: F.struct(
+        (acc["at"] + size(chunk)).alias("at"),
+        F.concat(acc["out"], F.array(F.struct(acc["at"].alias("at"), chunk.alias("words")))).alias("out")),
+        lambda acc: acc["out"])
+    rows = base.select("id", F.xxhash64("text").alias("row"), F.explode_outer(placed).alias("c"))
+
+    def step(acc: Column, w: Column) -> Column:
+        end = acc["at"] + w["gap"] + w["n"]
+        one = F.struct(w["term"].alias("term"), (end - w["n"]).alias("start"), end.alias("end"))
+        return F.struct(end.alias("at"), F.when(w["term"].isNull(), acc["out"])
+                        .otherwise(F.concat(acc["out"], F.array(one))).alias("out"))
+    none = F.array().cast("array<struct<term:string,start:bigint,end:bigint>>")
+    found = F.aggregate("c.words", F.struct(F.col("c.at").alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    return rows.select("id", "row", F.explode_outer(found).alias("w")).where("w is not null").select("id", "row", "w.*")
+
+
+def common_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(kind, entity, term, n_both): documents that hold both, over their whole texts."""
+    def held(kind: str) -> Column:
+        return F.transform(F.filter(_found(kind)[0], lambda m: _holds(F.lit(kind), m)),
+                           lambda m: F.struct(F.lit(kind).alias("kind"), F.lower(m).alias("entity")))
+    text = F.col("text")
+    entities = F.array_distinct(F.concat(*[held(kind) for kind in KINDS]))
+    holds = F.filter(F.array(F.struct(entities.alias("entities"), text)), lambda d: F.size(d["entities"]) > 0)
+    rows = docs.select(text_or_empty(text_col).alias("text")).select(F.explode_outer(holds).alias("d"))
+    rows = rows.where("d is not null").select("d.entities", _words(F.col("d.text")).alias("words"))
+    rows = rows.select(F.explode_outer("entities").alias("e"), "words")
+    rows = rows.select("e.kind", "e.entity", F.explode_outer("words").alias("term")).where("term is not null")
+    return rows.groupBy("kind", "entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(term, n_term): documents that hold each word, over the whole corpus."""
-    found = F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty(text_col)), F.lit(WORD), F.lit(0)))
-    return docs.select(F.explode(found).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    return docs.select(F.explode_outer(_words(text_or_empty(text_col))).alias("term")).where("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
 
 
 def _g2(both: Column, entity: Column, term: Column, n: Column) -> Column:
@@ -137,7 +177,7 @@ def _g2(both: Column, entity: Column, term: Column, n: Column) -> Column:
                 + cell(term - both, n - entity, term) + cell(n - entity - term + both, n - entity, n - term))
 
 
-def disclosures(docs: DataFrame, mentions: DataFrame, terms: DataFrame, text_col: str = "text",
+def disclosures(docs: DataFrame, mentions: DataFrame, text_col: str = "text",
                 significant: float = SIGNIFICANT, generalise: float = GENERALISE) -> DataFrame:
     """(kind, entity, term, share): terms that disclose at least ``generalise`` of an entity.
 
@@ -149,9 +189,7 @@ def disclosures(docs: DataFrame, mentions: DataFrame, terms: DataFrame, text_col
     entity = ["kind", "entity"]
     lowered = mentions.where("entity is not null").select("uid", "kind", F.lower("entity").alias("entity"))
     n_entity = lowered.distinct().groupBy(*entity).agg(F.count(F.lit(1)).alias("n_entity"))
-    both = (terms.select("uid", *entity, "term").distinct().groupBy(*entity, "term")
-            .agg(F.count(F.lit(1)).alias("n_both")))
-    both = land(both, "pii-pairs")
+    both = land(common_documents(docs, text_col), "pii-pairs")
     wanted = both.select("term").distinct()
     n_term = document_frequencies(docs, text_col).join(wanted, "term")
     n = docs.select(F.count(F.lit(1)).alias("n")).scalar()
@@ -162,33 +200,51 @@ def disclosures(docs: DataFrame, mentions: DataFrame, terms: DataFrame, text_col
             .withColumn("share", share).where(F.col("share") >= generalise).select(*entity, "term", "share"))
 
 
+@contextmanager
+def _filtered_early(spark: SparkSession) -> Iterator[None]:
+    """Let Spark's runtime Bloom filter (of bounded size) drop most words before they are shuffled to a join."""
+    before = {k: spark.conf.get(k) for k in _BLOOM}
+    try:
+        for k, v in _BLOOM.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", significant: float = SIGNIFICANT,
                     generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """(id, row, spans) for every row of ``docs``; spans are (start, rank, kind, end, action).
 
-    Pattern spans have their kind and action ``remove``. A word within CONTEXT
-    characters of an entity that discloses too much of it is a span of kind
-    ``term`` with action ``generalise`` or ``remove``. Spans of different kinds
-    may overlap; they are sorted by start, then kind. ``row`` hashes the text, so
-    repeated ids stay apart; repeated rows are reported each. NULL and empty
-    texts have no spans; an empty table gives an empty result; other columns
-    are ignored.
+    Pattern spans have their kind and action ``remove``. A word that discloses
+    too much of any entity is a span of kind ``term`` with action ``generalise``
+    or ``remove`` wherever it occurs, also in documents without the entity, but
+    not inside a pattern span. Spans of different kinds may overlap; they are
+    sorted by start, then kind. ``row`` hashes the text, so repeated ids stay
+    apart; repeated rows are reported each. NULL and empty texts have no spans;
+    an empty table gives an empty result; other columns are ignored.
     """
     mentions = land(entity_mentions(docs, id_col, text_col), "pii-mentions")
-    terms = land(context_terms(mentions), "pii-terms")
-    bad = land(disclosures(docs, mentions, terms, text_col, significant, generalise), "pii-disclosures")
+    bad = land(disclosures(docs, mentions, text_col, significant, generalise)
+               .groupBy("term").agg(F.max("share").alias("share")), "pii-disclosures")
+    with _filtered_early(docs.sparkSession):
+        terms = land(word_places(docs, id_col, text_col).join(bad.where(F.col("share") >= generalise), "term")
+                     .select("id", "row", "start", "end", "share"), "pii-terms")
     rank = reduce(lambda a, i: a.when(F.col("kind") == KINDS[i], i), range(len(KINDS)),
                   F.when(F.col("kind") == TERM, len(KINDS)))
-    added = (terms.join(bad, ["kind", "entity", "term"])
-             .groupBy("uid", "id", "row", "start", "end").agg(F.max("share").alias("share"))
-             .select("uid", "id", "row", F.lit(TERM).alias("kind"), "start", "end",
-                     F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action")))
-    spans = (mentions.select("uid", "id", "row", "kind", "start", "end", F.lit("remove").alias("action"))
-             .unionByName(added).withColumn("rank", rank))
-    one = F.struct("start", "rank", "kind", "end", "action")
-    return (spans.groupBy("uid", "id", "row").agg(F.sort_array(F.collect_list(F.when(F.col("kind").isNotNull(), one)))
-                                                  .alias("spans"))
-            .select(F.col("id").alias(id_col), "row", "spans"))
+    one = F.struct("start", rank.alias("rank"), "kind", "end", "action")
+    found = (mentions.withColumn("action", F.lit("remove")).groupBy("uid", "id", "row")
+             .agg(F.collect_list(F.when(F.col("kind").isNotNull(), one)).alias("spans")))
+    action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
+    # a set: repeated rows place the same words
+    added = (terms.select("id", "row", F.lit(TERM).alias("kind"), "start", "end", action.alias("action"))
+             .groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(F.collect_set(one).alias("terms")))
+    inside = lambda w: F.exists("spans", lambda s: (s["start"] <= w["start"]) & (w["end"] <= s["end"]))
+    outside = F.filter("terms", lambda w: ~inside(w))
+    every = F.when(F.col("terms").isNull(), F.col("spans")).otherwise(F.concat("spans", outside))
+    return (found.join(added, F.col("id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")), "left")
+            .select(F.col("id").alias(id_col), "row", F.sort_array(every).alias("spans")))
 
 
 def sanitise(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, on odd rows and on the empty table."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -172,6 +173,56 @@ def test_pii_terms_of_an_entity_in_one_document(spark):
     assert found.pop(0) == {(10, 17, "remove"), (18, 22, "remove")} and not any(found.values())
 
 
+def brute_terms(docs):
+    n, holds, has = len(docs), {}, {}
+    for i, t in enumerate(docs):
+        for k, s, e in brute_pii(t):
+            holds.setdefault((k, t[s:e].lower()), set()).add(i)
+        for m in re.finditer(r"[^\W\d_]{3,}", t):
+            has.setdefault(m.group().lower(), set()).add(i)
+    bad = {}
+    for e in holds.values():
+        for w, d in has.items():
+            both = len(e & d)
+            if both and len(e) < n:
+                table = [(both, len(e), len(d)), (len(e) - both, len(e), n - len(d)), (len(d) - both, n - len(e), len(d)),
+                         (n - len(e) - len(d) + both, n - len(e), n - len(d))]
+                g2 = 2 * sum(o * math.log(o * n / (r * c)) for o, r, c in table if o)
+                share = math.log(both * n / (len(e) * len(d))) / math.log(n / len(e))
+                if g2 >= pii.SIGNIFICANT and share >= pii.GENERALISE:
+                    bad[w] = max(bad.get(w, 0), share)
+    out = []
+    for t in docs:
+        spans = [(s, e) for _, s, e in brute_pii(t)]
+        out.append({(m.start(), m.end(), "remove" if bad[m.group().lower()] >= pii.REMOVE else "generalise")
+                    for m in re.finditer(r"[^\W\d_]{3,}", t) if m.group().lower() in bad
+                    and not any(s <= m.start() and m.end() <= e for s, e in spans)})
+    return out
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_pii_terms_over_whole_texts(spark, broadcast):
+    rng = random.Random(3)
+    pool = [f"w{a}{b}é𝄞{c}rd" for a in "abcdef" for b in "ghijk" for c in "lmnop"]
+    filler = lambda n: " ".join(rng.choice(pool) for _ in range(n))
+    docs = [filler(rng.randrange(300)) for _ in range(60)]
+    docs[0] = f"Zebedee {filler(90)} own@z.org x@y.org {filler(200)} zebedee, quill"
+    docs[1] = f"zebedee {filler(40)}"  # names the term, not the entity
+    docs[2] = f"a@b.net {filler(30)} x@y.org 9.9.9.9 9.9.9.999 net"
+    docs[3], docs[4] = "", None
+    frame = spark.createDataFrame(list(enumerate(docs)) + [(2, docs[2])], "doc_id long, text string").repartition(4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = [(r.doc_id, {(s.start, s.end, s.action) for s in r.spans if s.kind == "term"})
+               for r in pii.sensitive_spans(frame).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = brute_terms([d or "" for d in docs] + [docs[2]])
+    assert sorted(got, key=repr) == sorted(zip([*range(60), 2], want), key=repr)
+    assert (0, 7, "generalise") in want[0] and (0, 7, "generalise") in want[1]
+
+
 # --- 4 packing ----------------------------------------------------------------------
 
 def test_packing_round_trip(odd, empty):
