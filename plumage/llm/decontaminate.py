@@ -29,6 +29,8 @@ RAREST = 0.5
 WITHIN = 2.0
 #: An item leaked if the alignment reaches this share of its best possible score.
 MIN_SCORE = 0.5
+#: So did a part of it with this many words' score at least, if that is also MIN_SCORE of its own passage's best.
+LONG = 13
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words of test items sent out at once.
 BLOCK_WORDS = 1 << 18
@@ -178,7 +180,8 @@ def _search(block: Block, seed: np.ndarray, n: int, min_score: float):
                 score, s, e = align(target, words_in[left:right])
                 share = score / (MATCH * len(target))
                 key = (int(d[lo]), int(it[lo]))
-                if share >= min_score and share > best.get(key, (0.0,))[0]:
+                part = score >= MATCH * LONG and score >= min_score * MATCH * (e - s)
+                if (share >= min_score or part) and share > best.get(key, (0.0,))[0]:
                     best[key] = (share, left + s, left + e)
             if best:
                 ids = batch.column("id")
@@ -193,6 +196,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                min_score: float = MIN_SCORE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(id, item_id, score, word_start, word_end) of every document and test item that match.
 
+    A match reaches ``min_score`` of the item's best score, or is a passage of
+    LONG words' score at least that reaches ``min_score`` of its own best.
     ``score`` is the alignment's share of the item's best possible score, the
     words are those of the document's aligned passage (runs of letters and
     digits; ASCII case does not count). Documents or items that are NULL, empty
