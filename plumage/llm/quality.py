@@ -5,9 +5,8 @@ every language, and each document's score is its bits per byte. N-grams of all
 trusted documents are counted; Spark joins make the model out of the counts
 order by order. For scoring, documents are dealt into groups (see
 :mod:`plumage.llm.groups`); each group sends its distinct n-grams to the shards
-of the count tables and gets their log probabilities back. Documents above a
-fence made of their language's quantiles among held-out trusted documents are
-rejected.
+of the count tables and gets their log probabilities back. Documents above their
+language's 99 % quantile among held-out trusted documents are rejected.
 """
 
 from __future__ import annotations
@@ -25,13 +24,15 @@ from plumage.llm.common import flat_bytes, land, text_or_empty
 ORDER = 5
 #: Trusted documents kept out of training, of this many: they give the quantiles.
 HELD_OUT = 4
-#: Bytes at the language's median that every document's score is blended with,
-#: so that a few odd bytes do not condemn a very short text.
-PRIOR_BYTES = 64
-#: The fence: median + REACH * (95 % quantile - median), in bits per byte.
-REACH = 6.0
-#: Held-out documents a language needs for quantiles of its own.
-MIN_HELD = 20
+#: Quantile of the held-out trusted documents' scores above which a text is rejected.
+QUANTILE = 0.99
+#: A text of this many bytes counts 0.7 of its distance from the median: the
+#: rates of shorter texts scatter more.
+EVEN_BYTES = 2000
+#: Held-out documents for which a language's own quantiles count half, all languages' the rest.
+SHRINK = 20
+#: A quantile of few held-out documents comes out too low; the distance is wider by this over the root of their number.
+MARGIN = 2.5
 #: Bytes of text per shard of the n-gram tables.
 SHARD_BYTES = 8 << 20
 _SCALE = 2048.0  # stored log2 probabilities are rounded to 1/2048
@@ -233,10 +234,11 @@ def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
 
     ``trusted`` has the ids of trusted documents in its first column (repeats
     and NULLs are ignored). Perplexity is per byte, of the whole text.
-    A document is kept unless its perplexity, blended with PRIOR_BYTES at its
-    language's median, is above the language's fence. A NULL language is a
-    language of its own; one with under MIN_HELD held-out documents uses the
-    quantiles of all. NULL and empty texts have perplexity NULL and are kept, so
+    A document is kept unless its perplexity is above ``threshold``: its
+    language's median and a distance that the held-out documents' quantile sets,
+    wider for short texts (see EVEN_BYTES). A NULL language is a language of its
+    own; the fewer held-out documents a language has, the more the quantiles of
+    all count (see SHRINK). NULL and empty texts have perplexity NULL and are kept, so
     is everything while there is no trusted text at all. Repeated rows score
     alike. An empty table gives an empty result; other columns are ignored.
     """
@@ -263,20 +265,32 @@ def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
 
 
 def _decide(scored: DataFrame, known: DataFrame) -> DataFrame:
-    rate = F.col("bits") / F.col("n_bytes")
+    rate = F.when(F.col("n_bytes") > 0, F.col("bits") / F.col("n_bytes"))
     held = (scored.where("n_bytes > 0").join(known.where("held = 1").select("id"), "id", "left_semi")
-            .select("lang", rate.alias("rate")))
-    fence = [F.percentile_approx("rate", 0.5, 100_000).alias("mid"),
-             F.percentile_approx("rate", 0.95, 100_000).alias("high"), F.count("rate").alias("held")]
-    by_lang = held.groupBy("lang").agg(*fence).where(F.col("held") >= MIN_HELD)
-    mid, high, _ = held.agg(*fence).first()
-    by_lang = by_lang.select(F.col("lang").alias("_lang"), "mid", "high")
-    out = (scored.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left")
-           .withColumn("mid", F.coalesce("mid", F.lit(mid).cast("double")))
-           .withColumn("high", F.coalesce("high", F.lit(high).cast("double"))))
-    blended = (F.col("bits") + PRIOR_BYTES * F.col("mid")) / (F.col("n_bytes") + PRIOR_BYTES)
-    limit = F.col("mid") + REACH * (F.col("high") - F.col("mid"))
+            .select("lang", "n_bytes", rate.alias("rate")))
+    def quantiles(column: str, q: float) -> tuple[DataFrame, float | None]:
+        """A column's quantile per language, drawn towards that of all, and that of all."""
+        one = F.percentile_approx(column, q, 100_000)
+        pooled = held.agg(one).first()[0]
+        every, n = F.lit(pooled).cast("double"), F.count(column)
+        own = every + (one - every) * (n / (n + SHRINK))
+        return held.groupBy(F.col("lang").alias("_lang")).agg(own.alias("own")), pooled
+
+    def with_quantiles(df: DataFrame, table: tuple[DataFrame, float | None], name: str) -> DataFrame:
+        by_lang, pooled = table
+        return (df.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+                .withColumn(name, F.coalesce("own", F.lit(pooled).cast("double"))).drop("_lang", "own"))
+    # how much a distance from the median counts
+    weight = F.sqrt(F.col("n_bytes") / (F.col("n_bytes") + EVEN_BYTES))
+    mid = quantiles("rate", 0.5)
+    held = with_quantiles(held, mid, "mid").withColumn("off", (F.col("rate") - F.col("mid")) * weight)
+    wider = 1 + MARGIN / max(held.count(), 1) ** 0.5
+    out = with_quantiles(with_quantiles(scored, mid, "mid"), quantiles("off", QUANTILE), "off").withColumn(
+        "off", F.col("off") * wider)
+    some = F.col("n_bytes") > 0
+    limit = F.col("mid") + F.when(some, F.col("off") / weight)
     return out.select("id", "lang", "n_bytes",
-                      F.when(F.col("n_bytes") > 0, F.pow(F.lit(2.0), rate)).alias("perplexity"),
+                      F.when(some, F.pow(F.lit(2.0), rate)).alias("perplexity"),
                       F.pow(F.lit(2.0), limit).alias("threshold"),
-                      F.coalesce((F.col("n_bytes") == 0) | (blended <= limit), F.lit(True)).alias("keep"))
+                      F.coalesce((F.col("n_bytes") == 0) | ((rate - F.col("mid")) * weight <= F.col("off")),
+                                 F.lit(True)).alias("keep"))

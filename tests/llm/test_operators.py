@@ -264,6 +264,15 @@ def test_quality_separates_and_sums_to_one(spark, odd, empty):
     assert rows_of(quality.score_quality(empty, trusted)) == []
 
 
+def test_quality_rejects_what_labels_reject(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    scored = quality.score_quality(docs, labels.where("quality = 1").select("doc_id")).join(labels, "doc_id")
+    rows = scored.select("quality", "keep", "perplexity", "threshold").collect()
+    assert sum(r.keep for r in rows if r.quality == 0) <= 1  # of 58
+    good = [r.keep for r in rows if r.quality == 1]
+    assert sum(good) >= 0.99 * len(good)
+
+
 def test_kneser_ney_is_a_distribution(spark):
     keys, _ = quality._gram_keys(np.array([0, 22]), np.frombuffer(b"abracadabra abracadabr", np.uint8), 3)
     grams, counts = np.unique(keys.view(np.int64), return_counts=True)
