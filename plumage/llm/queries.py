@@ -8,12 +8,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumage.llm import decontaminate, exactdup, lines, neardup, packing, pii, quality, sharding, suffix, toxicity
+from plumage.llm import (
+    decontaminate,
+    exactdup,
+    importance,
+    lines,
+    neardup,
+    packing,
+    pii,
+    quality,
+    sentencepieces,
+    sharding,
+    spelling,
+    suffix,
+    toxicity,
+)
 from plumage.llm.common import land
+from plumage.llm.sql_crc import crc_ctes
 from plumage.sources.tables import load_table
 
 SHARDS = 16
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 TOXIC = 0.5
 
 
@@ -82,6 +98,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("is_toxic", F.col("p_toxic") >= TOXIC)
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(_documents(spark, sf_dir), load_table(spark, sf_dir, "benchmark"), 5)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_documents(spark, sf_dir), noise=spelling.NOISE)
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepieces.encode_and_decode(_documents(spark, sf_dir), public_tokenizers.path(PIECES))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        sentencepieces.ids_digest(F.col("ids")).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_line_dedup": op2_line_dedup,
@@ -93,6 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_importance": op11_importance,
+    "op12_spelling": op12_spelling,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 _LINES_SQL = """
@@ -124,7 +159,86 @@ select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept,
 from documents d join g on coalesce(d.text, '') = g.t
 """
 
+_UPPER, _LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_IMPORTANCE_SQL = f"""
+with recursive texts as (
+  select 'd' as side, doc_id, text from documents
+  union all
+  select 'b', row_number() over (), text from benchmark),
+split as (
+  select side, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWERED}'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words from texts),
+placed as (
+  select side, doc_id, unnest(words) as w, unnest(range(len(words))) as i from split),
+joined as (
+  select side, doc_id, w, lead(w) over t as w2, lead(w, 2) over t as w3
+  from placed window t as (partition by side, doc_id order by i)),
+features as (
+  select side, doc_id, w as s from joined
+  union all select side, doc_id, w || ' ' || w2 from joined where w2 is not null
+  union all select side, doc_id, w || ' ' || w2 || ' ' || w3 from joined where w3 is not null),
+{crc_ctes("features")},
+bucketed as (
+  select f.side, f.doc_id, c.h % 10000 as bucket from features f join crc c on f.s = c.s),
+counts as (
+  select bucket, count(*) filter (where side = 'd') as s, count(*) filter (where side = 'b') as t
+  from bucketed group by bucket),
+totals as (select coalesce(sum(s), 0)::double as s_all, coalesce(sum(t), 0)::double as t_all from counts),
+gain as (
+  select bucket, floor(1000 * ln(((t + 1)::double * (s_all + 10000)) / ((s + 1)::double * (t_all + 10000))))::bigint as g
+  from counts, totals),
+weighed as (
+  select doc_id, count(*)::bigint as n_features, sum(g)::bigint as weight
+  from bucketed join gain using (bucket) where side = 'd' group by doc_id),
+scored as (
+  select d.doc_id, len(d.words) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || d.doc_id), 1, 8))::bigint + 0.5)
+                                                    ::double / 4294967296)))::bigint as score
+  from split d left join weighed w on d.doc_id = w.doc_id where d.side = 'd'),
+able as (
+  select doc_id, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n
+  from scored where n_words >= 20)
+select s.doc_id, n_features, weight, score, rank::bigint as rank
+from scored s left join able a on s.doc_id = a.doc_id and a.rank <= a.n * 5 // 100
+"""
+
+_SPELLING_SQL = f"""
+with recursive runs as (
+  select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')),
+                           '{_UPPER}', '{_LOWERED}') as run from documents),
+noted as (select run, doc_id || ':' || run as s, count(*) as n from runs group by all),
+{crc_ctes("noted")},
+spoiled as (
+  select case when h % {spelling.NOISE} = 0
+              then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, n
+  from noted join crc on noted.s = crc.s),
+words as (
+  select word, sum(n)::bigint as n from spoiled where length(word) >= {spelling.MIN_LENGTH}
+  group by word having sum(n) >= {spelling.MIN_COUNT}),
+places as (select word, n, unnest(range(length(word)))::int as i from words),
+holes as (select word, n, i, substr(word, 1, i) as a, substr(word, i + 2) as b from places),
+near as (
+  select a.word, b.word as other, b.n from holes a join holes b on a.i = b.i and a.a = b.a and a.b = b.b and a.word <> b.word
+  union select h.word, w.word, w.n from holes h join words w on h.a || h.b = w.word
+  union select w.word, h.word, h.n from holes h join words w on h.a || h.b = w.word),
+best as (
+  select word, count(*)::bigint as n_near, arg_min(other, (-n, other)) as best, max(n) as best_n from near group by word),
+formed as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when best_n >= 2 * w.n then best end as form,
+         case when best_n >= 2 * w.n then best_n end as form_n
+  from words w left join best b on w.word = b.word),
+way(word, here) as (
+  select word, word from formed
+  union all
+  select way.word, f.form from way join formed f on way.here = f.word where f.form is not null)
+select f.word, f.form, way.here as root, f.n, f.n_near, f.form_n
+from formed f join way on f.word = way.word join formed e on way.here = e.word where e.form is null
+"""
+
 ORACLE: dict[str, str] = {
     "op2_line_dedup": _LINES_SQL,
     "op9_exact_dedup": _EXACT_SQL,
+    "op11_importance": _IMPORTANCE_SQL,
+    "op12_spelling": _SPELLING_SQL,
 }
