@@ -14,14 +14,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumage.functions.rounding import percent
+from plumage.operators.ranking import ranked
+from plumage.session import cut_lineage
 
 
 def label_name(labels: list[str], col: str) -> F.Column:
-    """Index -> label name (IndexToString on a column of the small table)."""
-    expr = F.lit(None).cast("string")
-    for i, name in reversed(list(enumerate(labels))):
-        expr = F.when(F.col(col) == float(i), F.lit(name)).otherwise(expr)
-    return expr
+    """Index -> label name (IndexToString on a column of the small table): a place in one constant array."""
+    return F.get(F.array(*[F.lit(name) for name in labels]), F.col(col).cast("int"))
 
 
 def joint_confusion(scored: DataFrame, models: list[str], label_col: str = "gender",
@@ -41,6 +40,11 @@ def confusion_matrix(confusion: DataFrame, labels: list[str], label_col: str = "
     return out.orderBy(*by, label_col, f"predicted_{label_col}")
 
 
+def positioned(matrix: DataFrame, *order: str) -> DataFrame:
+    """A matrix with ``position``, its rows' places 1, 2, 3... in ``order``, so that the order itself can be compared."""
+    return ranked(cut_lineage(matrix, "matrix"), *[F.col(c).asc() for c in order], name="position")
+
+
 def metrics(confusion: DataFrame, label: str = "label", prediction: str = "prediction",
             by: tuple[str, ...] = ("model", "split"), digits: int = 6) -> DataFrame:
     """Accuracy, weighted precision / recall, F1 (MulticlassMetrics semantics).

@@ -33,10 +33,11 @@ from pyspark.ml.feature import (
     Tokenizer,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumage.functions.text import normalize_text, remove_stop_words, tokenize
+from plumage.operators.ranking import ranked
 from plumage.session import cut_lineage
 
 NUM_FEATURES = 1000
@@ -213,10 +214,22 @@ def l2_normalize_twin(df: DataFrame, cols: list[str]) -> DataFrame:
 def label_index_twin(df: DataFrame, label_col: str) -> DataFrame:
     """(label, n, label_index): descending frequency, ties alphabetical.
 
-    The window runs over the aggregated label table, whose size is the number
-    of classes (StringIndexer itself collects that list to the driver).
+    Counted once and ranked range by range, so the number of labels is not
+    bounded (StringIndexer collects its list to the driver).
     """
-    counts = df.where(F.col(label_col).isNotNull()).groupBy(label_col).agg(
-        F.count(F.lit(1)).cast("long").alias("n"))
-    w = Window.orderBy(F.desc("n"), F.asc(label_col))
-    return counts.withColumn("label_index", (F.row_number().over(w) - 1).cast("double"))
+    counts = cut_lineage(df.where(F.col(label_col).isNotNull()).groupBy(label_col).agg(
+        F.count(F.lit(1)).cast("long").alias("n")), "label-counts")
+    ranks = ranked(counts, F.col("n").desc(), F.col(label_col).asc(), name="_rank")
+    return ranks.select(label_col, "n", (F.col("_rank") - 1).cast("double").alias("label_index"))
+
+
+def index_labels(df: DataFrame, label_col: str, table: DataFrame, index_col: str = "label_index") -> DataFrame:
+    """``df`` with its labels' index by a join with ``table`` (see :func:`label_index_twin`); an unknown or NULL label has none."""
+    known = table.select(F.col(label_col).alias("_label"), F.col("label_index").alias(index_col))
+    return df.join(known, F.col(label_col) == F.col("_label"), "left").drop("_label")
+
+
+def name_labels(df: DataFrame, index_col: str, table: DataFrame, label_col: str, name: str) -> DataFrame:
+    """``df`` with the label of ``index_col`` as ``name``: the inverse of :func:`index_labels`."""
+    known = table.select(F.col("label_index").alias("_index"), F.col(label_col).alias(name))
+    return df.join(known, F.col(index_col) == F.col("_index"), "left").drop("_index")

@@ -20,14 +20,15 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plumage.functions.split import split_label
-from plumage.operators.clean import drop_reason, prepare
+from plumage.operators.clean import clean_text, convert_colours, drop_reason, final_projection, prepare
 from plumage.operators.evaluate import confusion_matrix, joint_confusion, metrics
 from plumage.operators.features import fit_and_featurize, featurize, fit_features, label_list
 from plumage.operators.models import decision_tree, random_forest, train, with_prediction
+from plumage.operators.profile import STAGES, stage_aggregates, stage_flags
 from plumage.session import cut_lineage, spread
 from plumage.sources.tables import profiles
 
@@ -55,6 +56,27 @@ def cleaned_profiles(spark: SparkSession, sf_dir: str, form: str = "train",
     return usable(clean_raw(profiles(spark, sf_dir), form, "doc_id", train_fraction, seed))
 
 
+def observed_profiles(raw: DataFrame, form: str = "train", key: str = "doc_id",
+                      train_fraction: float = 0.7, seed: int = 46) -> tuple[DataFrame, Observation]:
+    """:func:`usable` rows of :func:`clean_raw`, and an observation that the first job over them fills
+    with the counts of ``profile.stage_counts``: no pass of its own is needed for them."""
+    if key != "doc_id":
+        raw = raw.withColumnRenamed(key, "doc_id")
+    seen = Observation("stages")
+    flagged = stage_flags(raw, "doc_id", train_fraction, seed).observe(seen, *stage_aggregates())
+    kept = flagged.where(F.col("_kept" if form == "train" else "_kept_sweep"))
+    clean = final_projection(clean_text(convert_colours(kept)))
+    clean = clean.withColumns({"text": F.coalesce(F.col("text"), F.lit("")),
+                               "split": split_label("doc_id", train_fraction, seed)})
+    return usable(spread(clean, "doc_id")), seen
+
+
+def observed_counts(spark: SparkSession, seen: Observation) -> DataFrame:
+    """(stage, n) of a filled observation; waits for the first job over the observed rows."""
+    found = seen.get
+    return spark.createDataFrame([(stage, found[stage]) for stage in STAGES], "stage string, n long")
+
+
 def usable(clean: DataFrame, allowed_labels: tuple[str, ...] | None = None) -> DataFrame:
     """Rows the pipeline can take; :func:`dropped` lists the others."""
     return clean.where(drop_reason(allowed_labels).isNull())
@@ -129,12 +151,12 @@ def train_evaluate_clean(clean: DataFrame, fit_on: str = "all") -> Evaluation:
 @dataclass
 class ProfileReport:
     malformed: DataFrame       # rows read / good / malformed
-    describe: DataFrame        # typed describe of the numeric columns, permissive vs good rows
+    describe: DataFrame        # describe of the columns (default: all), permissive vs good rows, in one scan
     stages: DataFrame          # row counts per stage
     previews: DataFrame        # first rows after each cleaning step
 
 
-def profile_report(spark: SparkSession, csv_path: str, schema, numeric: list[str],
+def profile_report(spark: SparkSession, csv_path: str, schema, columns: list[str] | None = None,
                    key: str = "doc_id", form: str = "train", header: bool = True,
                    multi_line: bool = False) -> ProfileReport:
     """The profile program on a raw CSV of profile records.
@@ -142,12 +164,10 @@ def profile_report(spark: SparkSession, csv_path: str, schema, numeric: list[str
     One PERMISSIVE parse landed as Parquet (see ``scan_with_quarantine``);
     every report below reads the landed table, never the CSV again.
     """
-    from plumage.operators.profile import describe_long, preview_steps, stage_counts
+    from plumage.operators.profile import describe_modes, preview_steps, stage_counts
     from plumage.sources.csv import good_rows, malformed_report, scan_with_quarantine
 
     scanned = scan_with_quarantine(spark, csv_path, schema, header=header, multi_line=multi_line)
     good = good_rows(scanned)
-    describe = (describe_long(scanned, numeric).withColumn("mode", F.lit("permissive"))
-                .unionByName(describe_long(good, numeric).withColumn("mode", F.lit("dropmalformed"))))
-    return ProfileReport(malformed_report(scanned), describe, stage_counts(good, key),
+    return ProfileReport(malformed_report(scanned), describe_modes(scanned, columns or good.columns), stage_counts(good, key),
                          preview_steps(good, form, key))

@@ -3,7 +3,7 @@
 Keys whose result depends on a model trained on profiles (decision_tree,
 random_forest, train_evaluate, compare_models, the sweeps) have no entry: their
 rows are checked on counts and invariants. The same jobs on labels made by a
-rule (:mod:`plumage.plans.rules`) have one.
+rule (:mod:`plumage.plans.rules`, :mod:`plumage.plans.staircase`) have one.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from plumage.functions.hex import hex_to_int_sql
 from plumage.functions.split import split_label_sql
 from plumage.functions.text import ENGLISH_STOP_WORDS, sql_string_list
 from plumage.plans.rules import ORACLE as RULE_ORACLE
+from plumage.plans.staircase import ORACLE as STAIR_ORACLE
 from plumage.sources.tables import PROFILES_DUCKDB_SQL
 
 LABELS = "('male','female','brand')"
@@ -91,21 +92,34 @@ def stage_counts() -> str:
     ])
 
 
-GOOD_LINE = "doc_id % 10 not in (0, 5) and try_cast(tweet_count as double) is not null"
+# of every 20 ids, 0 is cut to two cells, 5 has a cell too many, 10 quotes that are not doubled
+GOOD_LINE = "kind not in (0, 5, 10) and tweet_count is not null"
+LINE_COLUMNS = ["doc_id", "gender", "gender_gold", "gender:confidence", "tweet_count", "link_color", "sidebar_color",
+                "description", "text"]
+_LATER = "case when kind <> 0 then {} end"
+LINES = f"""{PROFILES},
+perm as (select doc_id, kind, nullif(gender, '') as gender, {_LATER.format("nullif(gender_gold, '')")} as gender_gold,
+    {_LATER.format('try_cast("gender:confidence" as double)')} as "gender:confidence",
+    {_LATER.format("try_cast(tweet_count as double)")} as tweet_count,
+    {_LATER.format("nullif(link_color, '')")} as link_color, {_LATER.format("nullif(sidebar_color, '')")} as sidebar_color,
+    case kind when 0 then null when 10 then '"so "called' else nullif(description, '') end as description,
+    case kind when 0 then null when 10 then ' quoted" words"' else nullif(text, '') end as text
+  from (select *, doc_id % 20 as kind from p))"""
+
 
 def describe_csv_modes() -> str:
-    perm = f"""perm as (select doc_id,
-        case when doc_id % 10 = 0 then null else try_cast(tweet_count as double) end as tweet_count,
-        {GOOD_LINE} as good from p)"""
     parts = []
-    for mode, where in (("permissive", ""), ("dropmalformed", " where good")):
-        for c in ("doc_id", "tweet_count"):
+    for mode, where in (("permissive", ""), ("dropmalformed", f" where {GOOD_LINE}")):
+        for c in LINE_COLUMNS:
+            number = c in ("doc_id", "gender:confidence", "tweet_count")
+            x = f'"{c}"::double' if number else f'try_cast("{c}" as double)'
+            ends = [f"round({f}({x}), 3)" if number else "null::double" for f in ("min", "max")]
+            ends += ["null::varchar" if number else f'{f}("{c}")' for f in ("min", "max")]
             parts.append(
-                f"select '{mode}' as mode, '{c}' as column_name, count({c})::bigint as n, "
-                f"round(avg({c}::double), 6) as mean, round(stddev_samp({c}::double), 6) as stddev, "
-                f"round(min({c}::double), 6) as min_value, round(max({c}::double), 6) as max_value "
-                f"from perm{where}")
-    return f"with {PROFILES},\n{perm}\n" + _union(parts)
+                f"""select '{mode}' as mode, '{c}' as column_name, count("{c}")::bigint as n, round(avg({x}), 3) as mean, """
+                f"round(stddev_samp({x}), 3) as stddev, {ends[0]} as min_number, {ends[1]} as max_number, "
+                f"{ends[2]} as min_text, {ends[3]} as max_text from perm{where}")
+    return f"with {LINES}\n" + _union(parts)
 
 
 def preview_steps() -> str:
@@ -167,6 +181,11 @@ RANKED = """ranked as (select lang as label, count(*)::bigint as n,
            from documents group by lang)"""
 
 
+CUSTOMERS = """o as (select o_orderkey, 'customer ' || o_custkey as label from orders),
+labels as (select label, count(*)::bigint as n, (row_number() over (order by count(*) desc, label) - 1)::double as label_index
+           from o group by label)"""
+
+
 # --- Spark's HashingTF bucket in SQL -----------------------------------------
 # HashingTF maps a term to nonNegativeMod(murmur3_x86_32(utf8(term), seed=42),
 # numFeatures). After normalisation every term is ASCII, so its bytes are the
@@ -250,6 +269,10 @@ ORACLE: dict[str, str] = {
     # Spark's CSV reader maps an empty cell, quoted or not, to NULL (default
     # nullValue ""), so an empty string does not survive the round trip.
     "csv_scan_permissive": f"""with {PROFILES}
+select doc_id, gender, gender_gold, "gender:confidence" as gender_confidence, tweet_count,
+       nullif(link_color, '') as link_color, sidebar_color, nullif(description, '') as description,
+       nullif(text, '') as text from p""",
+    "csv_by_name": f"""with {PROFILES}
 select doc_id, gender, gender_gold, "gender:confidence" as gender_confidence, tweet_count,
        nullif(link_color, '') as link_color, sidebar_color, nullif(description, '') as description,
        nullif(text, '') as text from p""",
@@ -257,26 +280,33 @@ select doc_id, gender, gender_gold, "gender:confidence" as gender_confidence, tw
 select doc_id, gender, gender_gold, try_cast("gender:confidence" as double) as gender_confidence,
        tweet_count, nullif(link_color, '') as link_color, sidebar_color, nullif(description, '') as description,
        nullif(text, '') as text from p""",
-    "csv_scan_dropmalformed": f"""with {PROFILES}
-select doc_id, nullif(gender, '') as gender, nullif(gender_gold, '') as gender_gold,
-       try_cast(tweet_count as double) as tweet_count, nullif(sidebar_color, '') as sidebar_color
-from p where {GOOD_LINE}""",
-    "malformed_report": f"""with {PROFILES}
+    "csv_scan_dropmalformed": f"""with {LINES}
+select * exclude (kind, "gender:confidence"), "gender:confidence" as gender_confidence from perm where {GOOD_LINE}""",
+    "malformed_report": f"""with {LINES}
 select count(*)::bigint as rows_read,
        sum(case when {GOOD_LINE} then 1 else 0 end)::bigint as rows_good,
-       sum(case when {GOOD_LINE} then 0 else 1 end)::bigint as rows_malformed from p""",
+       sum(case when {GOOD_LINE} then 0 else 1 end)::bigint as rows_malformed from perm""",
+    "malformed_reasons": f"""with {LINES},
+r as (select case kind when 0 then 'too_short' when 5 then 'too_long' when 10 then 'broken_quote' else 'bad_cell' end as reason
+      from perm where not ({GOOD_LINE}))
+select reason, case when reason = 'bad_cell' then 'tweet_count' end as column, count(*)::bigint as n from r group by all""",
     "describe_csv_modes": describe_csv_modes(),
     "describe_profile": describe_profile(),
     "describe_strings": describe_strings(),
     "stage_counts": stage_counts(),
+    "observed_stage_counts": stage_counts(),
     "preview_top10": f"with {cleaned('train')}\nselect * from cleaned order by doc_id limit 10",
     "preview_steps": preview_steps(),
     "project_cast_alias": f"with {SEL}\nselect * from sel",
     "filter_label_train": f"with {SEL}\nselect * from sel where {TRAIN}",
+    "filter_sql_text": f"with {SEL}\nselect * from sel where {TRAIN}",
     "filter_label_sweep": f"with {SEL}\nselect * from sel where {SWEEP}",
     "drop_columns": f"""with {SEL}
 select doc_id, gender, description, link_color, sidebar_color, text, tweet_count from sel where {TRAIN}""",
     "hex_to_int": f"""with {PROFILES}
+select doc_id, link_color, {hex_to_int_sql('link_color')} as link_color_indexed,
+       sidebar_color, {hex_to_int_sql('sidebar_color')} as sidebar_color_indexed from p""",
+    "call_by_name": f"""with {PROFILES}
 select doc_id, link_color, {hex_to_int_sql('link_color')} as link_color_indexed,
        sidebar_color, {hex_to_int_sql('sidebar_color')} as sidebar_color_indexed from p""",
     "hex_to_int_part": f"""with h as (
@@ -308,6 +338,9 @@ from cleaned where tweet_count is not null""",
     "index_to_string": f"""with {RANKED}
 select d.doc_id, d.lang, r.label_index as lang_index, r.label as lang_roundtrip
 from documents d join ranked r on d.lang = r.label""",
+    "label_ranks": f"with {CUSTOMERS}\nselect label, n, label_index from labels",
+    "label_round_trip": f"""with {CUSTOMERS}
+select o_orderkey, o.label, label_index, o.label as label_again from o join labels l on o.label = l.label""",
     "hash_split": f"select doc_id, {split_label_sql('doc_id')} as split from documents",
     # train-form rows without those of dropped_rows; labels ranked by frequency then name; 3 + 1,000 + 1,000 wide; unit norm
     "feature_pipeline": f"""with {cleaned('train')},
@@ -322,9 +355,15 @@ select doc_id, {split_label_sql('doc_id')} as split,
        case when gender is null then 'null_label' else 'null_count' end as reason
 from sel where {TRAIN} and not ({USABLE})""",
     **RULE_ORACLE,
+    **STAIR_ORACLE,
+    # no node may contradict its counts: one tree, 20 trees of the forest
+    "model_node_checks": """select 'decision_tree' as model, 0 as tree, 0::bigint as bad_counts, 0::bigint as bad_gain,
+       0::bigint as bad_prediction, 0::bigint as bad_recount
+union all select 'random_forest', range::int, 0, 0, 0, null from range(20)""",
     "train_evaluate_rows": f"""with {SEL}
 select model, {split_label_sql('doc_id')} as split, gender, count(*)::bigint as n
 from sel, (values ('decision_tree'), ('random_forest')) as m(model) where {TRAIN} and {USABLE} group by all""",
-    "confusion_matrix": f"with {GOLD}\nselect l as gender, p as predicted_gender, n::bigint as n from c",
+    "confusion_matrix": f"""with {GOLD}
+select l as gender, p as predicted_gender, n::bigint as n, row_number() over (order by l, p) as position from c""",
     "eval_metrics": eval_metrics(),
 }

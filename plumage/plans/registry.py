@@ -24,15 +24,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumage.functions.hex import hex_to_int
+from plumage.functions.named import register_functions
 from plumage.functions.split import split_label
 from plumage.functions.text import normalize_text, remove_stop_words, tokenize
-from plumage.operators import clean, features, profile
-from plumage.operators.evaluate import confusion_matrix, joint_confusion, label_name, metrics
+from plumage.operators import clean, features, profile, trees
+from plumage.operators.evaluate import confusion_matrix, joint_confusion, label_name, metrics, positioned
 from plumage.operators.models import decision_tree, random_forest, train, with_prediction
 from plumage.operators.sweep import sweep
-from plumage.plans import jobs, rules
+from plumage.plans import jobs, rules, staircase
 from plumage.session import cut_lineage, scratch_path, spread
 from plumage.sources import csv as csvsrc
+from plumage.sources.headers import read_by_name
+from plumage.sources.infer import read_inferred
 from plumage.sources.tables import load_table, profiles
 
 R = 6  # decimal places for doubles in results
@@ -43,8 +46,8 @@ CSV_COLUMNS = ["doc_id", "gender", "gender_gold", "gender:confidence", "tweet_co
 CSV_DIALECT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 CSV_SCHEMA = ("doc_id bigint, gender string, gender_gold string, `gender:confidence` string, "
               "tweet_count string, link_color string, sidebar_color string, description string, text string")
-LINE_COLUMNS = ["doc_id", "gender", "gender_gold", "tweet_count", "sidebar_color"]
-LINE_SCHEMA = "doc_id bigint, gender string, gender_gold string, tweet_count double, sidebar_color string"
+LINE_SCHEMA = ("doc_id bigint, gender string, gender_gold string, `gender:confidence` double, "
+               "tweet_count double, link_color string, sidebar_color string, description string, text string")
 LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -74,43 +77,64 @@ def q_csv_scan_permissive(spark, sf_dir):
 
 def q_csv_infer_schema(spark, sf_dir):
     path = _profiles_csv(spark, sf_dir)
-    df = csvsrc.read_csv(spark, path, header=True, infer_schema=True, multi_line=True, **CSV_DIALECT)
+    df = read_inferred(spark, path, multi_line=True, **CSV_DIALECT)
     return _rename_conf(df.withColumn("doc_id", F.col("doc_id").cast("bigint")))
 
 
+def q_csv_by_name(spark, sf_dir):
+    """Two files with the columns in different orders, read as one table by the names in their headers."""
+    path = scratch_path(spark, "profiles-two-orders")
+    p = profiles(spark, sf_dir)
+    for part, names in enumerate((CSV_COLUMNS, CSV_COLUMNS[::-1])):
+        p.where(F.col("doc_id") % 2 == part).select(*[F.col(f"`{c}`") for c in names]).coalesce(2) \
+            .write.mode("append").options(header=True, **CSV_DIALECT).csv(path)
+    return _rename_conf(read_by_name(spark, path, CSV_SCHEMA, multi_line=True, **CSV_DIALECT))
+
+
 def _malformed_lines(spark: SparkSession, sf_dir: str) -> str:
-    """Header-less CSV lines; rows with doc_id % 10 = 0 are cut to two cells, rows
-    with doc_id % 10 = 5 have a cell too many."""
+    """The whole profiles as header-less CSV records, some of them malformed.
+
+    Of every 20 ids, 0 has two cells only, 5 a cell too many and 10 a description
+    with quotes that are not doubled; a tweet_count of 'n/a' does not cast.
+    """
     path = scratch_path(spark, "profiles-lines")
-    p = profiles(spark, sf_dir)
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in LINE_COLUMNS]
-    line = F.when(F.col("doc_id") % 10 == 0, F.concat_ws(",", *cells[:2])) \
-        .when(F.col("doc_id") % 10 == 5, F.concat_ws(",", *cells, F.lit("extra"))) \
-        .otherwise(F.concat_ws(",", *cells))
-    p.select(line.alias("value")).write.text(path)
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in CSV_COLUMNS]
+    doubled = [F.replace(c, F.lit('"'), F.lit('""')) for c in cells]
+    quoted = [F.when(c.rlike('[",\\r\\n]'), F.concat(F.lit('"'), d, F.lit('"'))).otherwise(c) for c, d in zip(cells, doubled)]
+    kind = F.col("doc_id") % 20
+    line = F.when(kind == 0, F.concat_ws(",", *quoted[:2])) \
+        .when(kind == 5, F.concat_ws(",", *quoted, F.lit("extra"))) \
+        .when(kind == 10, F.concat_ws(",", *quoted[:7], F.lit(BROKEN_CELL), quoted[8])) \
+        .otherwise(F.concat_ws(",", *quoted))
+    profiles(spark, sf_dir).select(line.alias("value")).write.text(path)
     return path
 
 
+# quotes that are not doubled: the delimiter after the second one ends the cell
+BROKEN_CELL = '"so "called, quoted" words"'
+
+
 def _quarantined(spark, sf_dir):
-    return csvsrc.scan_with_quarantine(spark, _malformed_lines(spark, sf_dir), LINE_SCHEMA, header=False)
+    return csvsrc.scan_with_quarantine(spark, _malformed_lines(spark, sf_dir), LINE_SCHEMA, header=False,
+                                       multi_line=True, **CSV_DIALECT)
 
 
 def q_csv_scan_dropmalformed(spark, sf_dir):
-    return csvsrc.good_rows(_quarantined(spark, sf_dir))
+    return _rename_conf(csvsrc.good_rows(_quarantined(spark, sf_dir)))
 
 
 def q_malformed_report(spark, sf_dir):
     return csvsrc.malformed_report(_quarantined(spark, sf_dir))
 
 
+def q_malformed_reasons(spark, sf_dir):
+    return csvsrc.malformed_reasons(_quarantined(spark, sf_dir), LINE_SCHEMA)
+
+
 def q_describe_csv_modes(spark, sf_dir):
     """The profile program's two summaries of one file: every row as a
     permissive read sees it (bad cells NULL), and only the well-formed rows."""
-    scanned = _quarantined(spark, sf_dir)
-    cols = ["doc_id", "tweet_count"]
-    perm = profile.describe_long(scanned, cols, R).withColumn("mode", F.lit("permissive"))
-    good = profile.describe_long(csvsrc.good_rows(scanned), cols, R).withColumn("mode", F.lit("dropmalformed"))
-    return perm.unionByName(good)
+    return profile.describe_modes(_quarantined(spark, sf_dir), CSV_COLUMNS, digits=3)
 
 
 # --- profiling -------------------------------------------------------------
@@ -131,6 +155,13 @@ def q_stage_counts(spark, sf_dir):
     return profile.stage_counts(profiles(spark, sf_dir))
 
 
+def q_observed_stage_counts(spark, sf_dir):
+    """The same counts from the training job's own first pass over the rows."""
+    clean_rows, seen = jobs.observed_profiles(profiles(spark, sf_dir))
+    jobs.build_features(clean_rows)
+    return jobs.observed_counts(spark, seen)
+
+
 def q_preview_top10(spark, sf_dir):
     """The ten rows are taken before the per-row cleaning, which keeps every row."""
     kept = clean.trust_filter(clean.select_profile(profiles(spark, sf_dir)), "train")
@@ -155,6 +186,15 @@ def q_filter_label_sweep(spark, sf_dir):
     return clean.trust_filter(clean.select_profile(profiles(spark, sf_dir)), "sweep", drop=False)
 
 
+# Fixed value: the train-form filter as the reference writes it, as SQL text.
+TRUST_SQL = ("((gender in ('male','female','brand') and gender_confidence = 1.0) or gender_gold in ('male','female','brand'))"
+             " and description is not null")
+
+
+def q_filter_sql_text(spark, sf_dir):
+    return clean.trust_filter(clean.select_profile(profiles(spark, sf_dir)), TRUST_SQL, drop=False)
+
+
 def q_drop_columns(spark, sf_dir):
     return clean.trust_filter(clean.select_profile(profiles(spark, sf_dir)), "train", drop=True)
 
@@ -165,6 +205,14 @@ def q_hex_to_int(spark, sf_dir):
                     "sidebar_color", hex_to_int("sidebar_color").alias("sidebar_color_indexed"))
 
 
+def q_call_by_name(spark, sf_dir):
+    """The colour function called by its name, from SQL text and from the DataFrame API."""
+    register_functions(spark)
+    p = spark.sql("select doc_id, link_color, sidebar_color, toInteger(link_color) as link_color_indexed from {p}",
+                  p=profiles(spark, sf_dir))
+    return p.withColumn("sidebar_color_indexed", F.call_function("toInteger", "sidebar_color"))
+
+
 def part_hex(spark, sf_dir) -> DataFrame:
     """Hex strings of varied length and sign derived from part keys."""
     part = load_table(spark, sf_dir, "part").select("p_partkey")
@@ -277,6 +325,22 @@ def q_index_to_string(spark, sf_dir):
     return back.transform(model.transform(d)).select("doc_id", "lang", "lang_index", "lang_roundtrip")
 
 
+def _customers(spark, sf_dir) -> DataFrame:
+    """Orders with their customer as the label: as many labels as customers."""
+    orders = load_table(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", F.format_string("customer %d", "o_custkey").alias("label"))
+
+
+def q_label_ranks(spark, sf_dir):
+    return features.label_index_twin(_customers(spark, sf_dir), "label")
+
+
+def q_label_round_trip(spark, sf_dir):
+    rows = _customers(spark, sf_dir)
+    table = cut_lineage(features.label_index_twin(rows, "label"), "labels")
+    return features.name_labels(features.index_labels(rows, "label", table), "label_index", table, "label", "label_again")
+
+
 def q_hash_split(spark, sf_dir):
     d = load_table(spark, sf_dir, "documents").select("doc_id")
     return d.select("doc_id", split_label("doc_id", 0.7, 46).alias("split"))
@@ -326,6 +390,24 @@ def q_compare_models(spark, sf_dir):
     return jobs.train_evaluate(spark, sf_dir).metrics
 
 
+def q_model_node_checks(spark, sf_dir):
+    """Nodes of the flagship's models that contradict their counts, per tree; of the
+    tree also those whose counts differ from the training rows that pass them."""
+    fs = jobs.build_features(jobs.cleaned_profiles(spark, sf_dir, "train"))
+    models = jobs.fit_models(fs)
+    parts = []
+    for name, model in models.items():
+        nodes = cut_lineage(trees.node_table(model), "nodes")
+        wrong = F.lit(None).cast("long")
+        if name == "decision_tree":  # a forest's tree has a random sample of its own
+            again = trees.recount(model, fs.features.where("split = 'train'"))
+            both = trees.node_counts(nodes).join(again.withColumnRenamed("n", "n_rows"), ["node", "label"], "full")
+            wrong = both.where("n is distinct from n_rows").agg(F.count(F.lit(1))).scalar()
+        parts.append(trees.node_checks(nodes).select(
+            F.lit(name).alias("model"), "tree", "bad_counts", "bad_gain", "bad_prediction", wrong.alias("bad_recount")))
+    return parts[0].unionByName(parts[1])
+
+
 def _gold_vs_crowd(spark, sf_dir):
     """Agreement of the gold label with the crowd label, as predictions.
 
@@ -344,7 +426,7 @@ def _gold_vs_crowd(spark, sf_dir):
 
 def q_confusion_matrix(spark, sf_dir):
     conf, labels = _gold_vs_crowd(spark, sf_dir)
-    return confusion_matrix(conf, labels, by=())
+    return positioned(confusion_matrix(conf, labels, by=()), "gender", "predicted_gender")
 
 
 def q_eval_metrics(spark, sf_dir):
@@ -368,19 +450,24 @@ def q_sweep_random_forest(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan_permissive": q_csv_scan_permissive,
     "csv_infer_schema": q_csv_infer_schema,
+    "csv_by_name": q_csv_by_name,
     "csv_scan_dropmalformed": q_csv_scan_dropmalformed,
     "malformed_report": q_malformed_report,
+    "malformed_reasons": q_malformed_reasons,
     "describe_csv_modes": q_describe_csv_modes,
     "describe_profile": q_describe_profile,
     "describe_strings": q_describe_strings,
     "stage_counts": q_stage_counts,
+    "observed_stage_counts": q_observed_stage_counts,
     "preview_top10": q_preview_top10,
     "preview_steps": q_preview_steps,
     "project_cast_alias": q_project_cast_alias,
     "filter_label_train": q_filter_label_train,
     "filter_label_sweep": q_filter_label_sweep,
+    "filter_sql_text": q_filter_sql_text,
     "drop_columns": q_drop_columns,
     "hex_to_int": q_hex_to_int,
+    "call_by_name": q_call_by_name,
     "hex_to_int_part": q_hex_to_int_part,
     "normalize_text": q_normalize_text,
     "tokenize": q_tokenize,
@@ -394,12 +481,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "l2_normalize": q_l2_normalize,
     "string_indexer": q_string_indexer,
     "index_to_string": q_index_to_string,
+    "label_ranks": q_label_ranks,
+    "label_round_trip": q_label_round_trip,
     "hash_split": q_hash_split,
     "feature_pipeline": q_feature_pipeline,
     "feature_pipeline_values": q_feature_pipeline_values,
     "dropped_rows": q_dropped_rows,
     "decision_tree": q_decision_tree,
     "random_forest": q_random_forest,
+    "model_node_checks": q_model_node_checks,
     "train_evaluate": q_train_evaluate,
     "compare_models": q_compare_models,
     "confusion_matrix": q_confusion_matrix,
@@ -407,4 +497,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sweep_decision_tree": q_sweep_decision_tree,
     "sweep_random_forest": q_sweep_random_forest,
     **rules.QUERIES,
+    **staircase.QUERIES,
 }

@@ -5,11 +5,9 @@ follows a rule that the model must learn exactly, DuckDB states every row's
 prediction, every matrix cell, metric and sweep row. The jobs are those of the
 profile keys; only the feature table differs.
 
-* The tree and the forest learn a rule of several levels over columns with at
-  most as many values as the model has bins, so depth, bins and minimum
-  instances matter.
-* The sweeps and the train program learn a balanced two-class rule that every
-  column carries: each split point, bin count from 2 and gain up to 0.4 can.
+The tree and the forest learn a rule of several levels over columns with at
+most as many values as the model has bins, so depth, bins and minimum
+instances matter. Sweeps and comparisons are in :mod:`plumage.plans.staircase`.
 """
 
 from __future__ import annotations
@@ -24,7 +22,6 @@ from plumage.functions.split import split_label, split_label_sql
 from plumage.operators.evaluate import label_name
 from plumage.operators.features import FEATURES
 from plumage.operators.models import decision_tree, random_forest, train, with_prediction
-from plumage.operators.sweep import DEFAULTS, grid, sweep
 from plumage.plans import jobs
 from plumage.session import cut_lineage
 from plumage.sources.tables import load_table
@@ -41,9 +38,6 @@ TREE_RULE = (f"case when {LINE7} <= 3 then case when {TAX9} <= 4 then 'male' els
 FOREST_COLUMNS = [LINE4, QUANTITY5, DISCOUNT6]
 FOREST_RULE = (f"case when {LINE4} <= 1 then case when {DISCOUNT6} <= 2 then 'male' else 'female' end"
                f" when {QUANTITY5} <= 1 then 'female' else 'brand' end")
-SIDE = "case when l_quantity > 25 then 1 else 0 end"
-SIDE_COLUMNS = [f"{a} * {SIDE} + {b}" for a, b in ((1, 0), (-3, 2), (7, 0), (100, -50), (-1, 0), (5, 5))]
-SIDE_RULE = f"case when {SIDE} = 1 then 'male' else 'female' end"
 
 
 def rule_features(spark: SparkSession, sf_dir: str, columns: list[str], rule: str) -> jobs.FeatureSet:
@@ -71,27 +65,6 @@ def q_random_forest_rule(spark, sf_dir):
     return _predictions(rule_features(spark, sf_dir, FOREST_COLUMNS, FOREST_RULE), random_forest())
 
 
-def _evaluation(spark, sf_dir) -> jobs.Evaluation:
-    fs = rule_features(spark, sf_dir, SIDE_COLUMNS, SIDE_RULE)
-    return jobs.evaluate(fs, jobs.fit_models(fs))
-
-
-def q_train_evaluate_rule(spark, sf_dir):
-    return _evaluation(spark, sf_dir).matrix
-
-
-def q_compare_models_rule(spark, sf_dir):
-    return _evaluation(spark, sf_dir).metrics
-
-
-def q_sweep_decision_tree_rule(spark, sf_dir):
-    return sweep(rule_features(spark, sf_dir, SIDE_COLUMNS, SIDE_RULE).features, "tree")
-
-
-def q_sweep_random_forest_rule(spark, sf_dir):
-    return sweep(rule_features(spark, sf_dir, SIDE_COLUMNS, SIDE_RULE).features, "forest")
-
-
 def q_train_evaluate_rows(spark, sf_dir):
     """Row sums of the profile matrix: what does not depend on the models."""
     matrix = jobs.train_evaluate(spark, sf_dir).matrix
@@ -101,15 +74,9 @@ def q_train_evaluate_rows(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decision_tree_rule": q_decision_tree_rule,
     "random_forest_rule": q_random_forest_rule,
-    "train_evaluate_rule": q_train_evaluate_rule,
-    "compare_models_rule": q_compare_models_rule,
-    "sweep_decision_tree_rule": q_sweep_decision_tree_rule,
-    "sweep_random_forest_rule": q_sweep_random_forest_rule,
     "train_evaluate_rows": q_train_evaluate_rows,
 }
 
-MODELS = "(values ('decision_tree'), ('random_forest')) as m(model)"
-METRICS = ("accuracy", "weighted_precision", "weighted_recall", "f1")
 SPLIT = split_label_sql("l_orderkey")
 
 
@@ -118,29 +85,7 @@ def _exact(rule: str) -> str:
             " from lineitem")
 
 
-def _perfect() -> str:
-    return ", ".join([f"1.0::double as {c}" for c in METRICS] + [f"100::bigint as {c}_pct" for c in METRICS])
-
-
-def _grid_sql(algorithm: str) -> str:
-    """The 32 rows, all with perfect metrics; the smallest value of each sweep is chosen."""
-    rows, seen = [], set()
-    for r in grid(algorithm):
-        p = DEFAULTS | r["params"]
-        chosen = r["sweep"] not in seen  # grid() lists each sweep in ascending order
-        seen.add(r["sweep"])
-        rows.append(f"('{algorithm}', '{r['sweep']}', {r['value']}::double, {p['maxDepth']}, {p['minInfoGain']}::double, "
-                    f"{p['maxBins']}, {p['minInstancesPerNode']}, {str(chosen).lower()})")
-    return (f"select *, {_perfect()} from (values {', '.join(rows)}) as g(algorithm, sweep, value, max_depth, "
-            "min_info_gain, max_bins, min_instances_per_node, chosen) where exists (from lineitem)")
-
-
 ORACLE: dict[str, str] = {
     "decision_tree_rule": _exact(TREE_RULE),
     "random_forest_rule": _exact(FOREST_RULE),
-    "train_evaluate_rule": f"""with r as ({_exact(SIDE_RULE)})
-select model, split, gender, predicted_gender, count(*)::bigint as n from r, {MODELS} group by all""",
-    "compare_models_rule": f"""select distinct model, {SPLIT} as split, {_perfect()} from lineitem, {MODELS}""",
-    "sweep_decision_tree_rule": _grid_sql("tree"),
-    "sweep_random_forest_rule": _grid_sql("forest"),
 }

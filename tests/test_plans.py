@@ -52,7 +52,7 @@ def test_good_rows_read_prunes_the_bad_partition(spark):
 def test_fit_reads_only_the_train_files(spark):
     from plumage.plans import rules
 
-    fs = rules.rule_features(spark, SF001, rules.SIDE_COLUMNS, rules.SIDE_RULE)
+    fs = rules.rule_features(spark, SF001, rules.TREE_COLUMNS, rules.TREE_RULE)
     assert "PartitionFilters: [isnotnull(split" in _plan(fs.features.where("split = 'train'"))
 
 
