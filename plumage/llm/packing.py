@@ -32,14 +32,31 @@ _TOKEN_SCHEMA = "id long, task int, task_start long, doc_tokens long, ids binary
 PIECES = "{id} long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+# Fixed value: the split rule of the tokenizer that WordIds knows.
+SPLIT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _has_these_rules(spec: dict) -> bool:
+    """Whether a tokenizer file normalises, splits and merges as :class:`WordIds` does."""
+    normal = (spec.get("normalizer") or {}).get("normalizers", [])
+    split = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return ([n["type"] for n in normal] == ["NFC", "Replace", "Lowercase"]
+            and normal[1]["pattern"] == {"Regex": r"\s+"} and normal[1]["content"] == " "
+            and [t["type"] for t in split] == ["Split", "ByteLevel"]
+            and split[0]["pattern"] == {"Regex": SPLIT_RULE} and split[0]["behavior"] == "Removed" and split[0]["invert"]
+            and not split[1]["add_prefix_space"] and not split[1]["use_regex"]
+            and spec["model"]["type"] == "BPE" and not any(t["normalized"] for t in spec["added_tokens"]))
+
+
 class WordIds(dict):
     """Ids of blank-separated words, as bytes; words not yet seen are encoded.
 
     The tokenizer lower-cases, splits a word into letter runs, single digits
     and other runs, and encodes each by itself, so a text's ids are its words'
-    ids in a row. That holds for the characters below U+0250 only (there every
-    string is in normal form C, and case maps one to one but for U+0130); texts
-    with others go through the whole tokenizer, as do special tokens' strings.
+    ids in a row. That holds for characters below U+0250 whose lower case is
+    below U+0250 as well (there every string is in normal form C, and case maps
+    one to one); texts with others go through the whole tokenizer, as do special
+    tokens' strings, and all texts if the file has other rules than these.
     """
 
     _pieces: dict[str, bytes]
@@ -56,8 +73,12 @@ class WordIds(dict):
         # The tokenizer's split rule and its white space below U+0250
         blank = "\t-\r \x85\xa0"
         self.split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{blank}{letters}{numbers}]+")
-        special = [t["content"] for t in json.loads(self.whole.to_str())["added_tokens"]]
-        self.other = re.compile("[^\x00-ɏ]|İ|" + "|".join(map(re.escape, special)))
+        spec = json.loads(self.whole.to_str())
+        special = [t["content"] for t in spec["added_tokens"]]
+        leave = "".join(c for c in small if len(c.lower()) > 1 or c.lower() not in small)
+        self.other = re.compile(f"[^\x00-ɏ]|[{leave}]|" + "|".join(map(re.escape, special)))
+        if not _has_these_rules(spec):
+            self.other = re.compile("")
         self.dtype = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
         # byte-level alphabet: printable bytes stand for themselves, the others follow U+0100
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
