@@ -101,12 +101,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: Sequence[str
 
     ``labels`` has the id and one 0/1 column per category; rows with a NULL id
     or category are no labels. Repeated labels of one id count once (the largest).
+    NULL texts are empty; other columns of ``docs``, whatever their names, are
+    ignored; empty tables give an empty sample.
     """
     known = labels.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(c) for c in categories]) \
         .dropna().groupBy("_id").agg(*[F.max(c).alias(c) for c in categories])
     picked = known.orderBy(F.xxhash64("_id"), "_id").limit(rows)  # the documented bound
-    return docs.join(F.broadcast(picked), docs[id_col] == picked["_id"]).select(
-        F.col("_id").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), *categories)
+    texts = docs.select(F.col(id_col).alias("_doc"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    return texts.join(F.broadcast(picked), F.col("_doc") == F.col("_id")).select(
+        F.col("_id").alias("id"), F.col("_text").alias("text"), *categories)
 
 
 def select_features(sample: DataFrame, categories: Sequence[str], per_category: int = FEATURES,
@@ -132,7 +135,9 @@ def select_features(sample: DataFrame, categories: Sequence[str], per_category:
 def fit_chain(sample: DataFrame, categories: Sequence[str], folds: int = FOLDS, reg: float = 1e-4) -> Chain:
     """Fit the chain on a labelled sample (see :func:`labelled_sample`).
 
-    A category with one value only in the sample gets a constant model.
+    A category with one value only in the sample gets a constant model. Without
+    any labelled row nothing is known to be toxic: all probabilities are 0 (but
+    for rounding).
     """
     k = len(categories)
     features = select_features(sample, categories)
@@ -144,6 +149,8 @@ def fit_chain(sample: DataFrame, categories: Sequence[str], folds: int = FOLDS,
     # the sample is bounded, so a few partitions hold it; every fitting step is one small job over them
     rows = land(rows.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(folds))).coalesce(PARTITIONS),
                        "toxicity-rows")
+    if not rows.take(1):
+        return Chain(tuple(categories), features, np.full(k, -50.0), np.zeros((k, len(features))), np.zeros((k, k)))
     bias, weights, earlier = np.zeros(k), np.zeros((k, len(features))), np.zeros((k, k))
     for c, name in enumerate(categories):
         seen = [f"p_{x}" for x in categories[:c]]
@@ -157,16 +164,23 @@ def fit_chain(sample: DataFrame, categories: Sequence[str], folds: int = FOLDS,
         weights[c] = coefficients[:len(features)]
         earlier[c, :c] = coefficients[len(features):]
         if c + 1 < k:
-            parts = [learner.fit(rows.where(F.col("fold") != f)).transform(rows.where(F.col("fold") == f))
-                     for f in range(folds)]
+            parts = [_out_of_fold(learner, rows, f, f"p_{name}") for f in range(folds)]
             scored = parts[0]
             for part in parts[1:]:
                 scored = scored.unionByName(part)
-            rows = land(scored.withColumn(f"p_{name}", vector_to_array("p")[1]).drop("v", "p", "r", "q"),
-                               "toxicity-out-of-fold")
+            rows = land(scored, "toxicity-out-of-fold")
     return Chain(tuple(categories), features, bias, weights, earlier)
 
 
+def _out_of_fold(learner: LogisticRegression, rows: DataFrame, fold: int, name: str) -> DataFrame:
+    """Rows of a fold with the probability that a model of the other folds gives (one half if they have no row)."""
+    others, mine = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
+    if not others.take(1):
+        return mine.withColumn(name, F.lit(0.5)).drop("v")
+    scored = learner.fit(others).transform(mine)
+    return scored.withColumn(name, vector_to_array("p")[1]).drop("v", "p", "r", "q")
+
+
 def _score(chain: Chain):
     names = ["id", *[f"p_{c}" for c in chain.categories]]
     width = len(chain.features)
