@@ -18,11 +18,11 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from plumage.operators.profile import describe_strings, preview_steps, stage_counts
+from plumage.operators.profile import describe_modes, preview_steps, stage_counts
 from plumage.operators.sweep import sweep
 from plumage.plans import jobs
-from plumage.session import ensure_checkpoint_dir
-from plumage.sources.csv import good_rows, malformed_report, scan_with_quarantine
+from plumage.session import cut_lineage, ensure_checkpoint_dir
+from plumage.sources.csv import CORRUPT, good_rows, malformed_reasons, malformed_report, scan_with_quarantine
 
 
 def _raw(spark: SparkSession, path: str, key: str | None, multi_line: bool):
@@ -37,7 +37,8 @@ def _raw(spark: SparkSession, path: str, key: str | None, multi_line: bool):
 
 
 def _show(report, truncate: int | bool = False) -> None:
-    """Every row of a report (reports have a few rows per class, column or step)."""
+    """Every row of a report (reports have a few rows per class, column or step); it is worked out once."""
+    report = cut_lineage(report, "report")
     report.show(max(1, report.count()), truncate)
 
 
@@ -60,22 +61,23 @@ def main(argv: list[str] | None = None) -> None:
     if args.program == "profile":
         keyed = good if key == "doc_id" else good.withColumnRenamed(key, "doc_id")
         _show(malformed_report(scanned))
-        cols = [c for c in good.columns if c != key]
-        for mode, rows in (("permissive", scanned), ("dropmalformed", good)):
-            _show(describe_strings(rows, cols).withColumn("mode", F.lit(mode)), 40)
+        columns = [c for c in scanned.columns if c not in (CORRUPT, "is_malformed")]
+        _show(malformed_reasons(scanned, ", ".join(f"`{c}` string" for c in columns)))
+        _show(describe_modes(scanned, [c for c in good.columns if c != key]), 40)
         _show(stage_counts(keyed))
         _show(preview_steps(keyed), 20)
 
     form = "sweep" if args.program == "sweep" else "train"
-    cleaned = jobs.clean_raw(good, form, key)
-    _show(jobs.dropped(cleaned).groupBy("reason", "split").count())
-    clean = jobs.usable(cleaned)
     if args.program != "sweep":
+        clean, seen = jobs.observed_profiles(good, form, key)
         ev = jobs.train_evaluate_clean(clean, args.fit_on)
+        _show(jobs.observed_counts(spark, seen))  # counted on the way, without a pass of their own
         _show(ev.metrics)
         _show(ev.matrix)
         return
-    fs = jobs.build_features(clean, fit_on=args.fit_on)
+    cleaned = jobs.clean_raw(good, form, key)
+    _show(jobs.dropped(cleaned).groupBy("reason", "split").count())
+    fs = jobs.build_features(jobs.usable(cleaned), fit_on=args.fit_on)
     for algo in (["tree", "forest"] if args.algorithm == "both" else [args.algorithm]):
         _show(sweep(fs.features, algo).orderBy("sweep", "value"))
 
