@@ -8,6 +8,7 @@ does not depend on how many rows Spark packs into a batch.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,9 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumage.llm.runs import runs
 from plumage.session import cut_lineage
 
-SLICE_BYTES = 4 << 20
+#: Text of a slice. Workers keep what they once needed, so this bounds what every stage holds beside the JVM.
+SLICE_BYTES = 512 << 10
 
 # The separators of the word and line rules, [\x20\x09-\x0D].
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -31,19 +34,43 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
-_R_INV = np.uint64(pow(int(_R), -1, 1 << 64))
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_MODULUS = 1 << 64
+_KEPT_POWERS = 4096
 
 
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 of the hash base and of its inverse, modulo 2**64."""
-    if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        for i, base in enumerate((_R, _R_INV)):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _powers[i] = np.multiply.accumulate(p)
-    return _powers[0], _powers[1]
+@functools.lru_cache(maxsize=1)
+def _kept_powers() -> np.ndarray:
+    return _multiplied(_KEPT_POWERS)
+
+
+def _multiplied(n: int) -> np.ndarray:
+    powers = np.full(n, _R, np.uint64)
+    powers[0] = 1
+    return np.multiply.accumulate(powers)
+
+
+def powers(n: int) -> np.ndarray:
+    """Powers 0..n-1 of the hash base, modulo 2**64; only short tables are kept."""
+    return _kept_powers()[:n] if n <= _KEPT_POWERS else _multiplied(n)
+
+
+def gram_hashes(raw: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` bytes at every place, by doubling: a gram's sum is that of its two parts."""
+    have, width = raw.astype(np.uint64) + np.uint64(1), 1
+    total, done, shift = None, 0, 1
+    scale = int(_R)  # the base to the power of ``width``
+    while True:
+        if size & width:
+            if total is None:
+                total, done, shift = have.copy(), width, scale
+            else:
+                n = min(len(total), len(have) - done)
+                total = total[:n] + have[done:done + n] * np.uint64(shift)
+                done, shift = done + width, shift * scale % _MODULUS
+        if 2 * width > size:
+            return mix(total[:len(raw) - size + 1])
+        have = have[:-width] + have[width:] * np.uint64(scale)
+        width, scale = 2 * width, scale * scale % _MODULUS
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -97,27 +124,17 @@ def words(offsets: np.ndarray, raw: np.ndarray, inside: np.ndarray = _IS_WORD,
     words ``bounds[d]:bounds[d + 1]``; then for each length in ``prefixes`` the
     hashes of the words' first bytes (of whole shorter words: 0).
     """
-    n = len(raw)
-    if not n:
-        return (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64),
-                *[np.zeros(0, np.uint64)] * len(prefixes))
     at = inside[raw]
-    first, last = at.copy(), at.copy()
-    first[1:] &= ~at[:-1]
-    last[:-1] &= ~at[1:]
-    heads = offsets[:-1][offsets[:-1] < offsets[1:]]
-    first[heads] = at[heads]  # a word never crosses into the next document
-    tails = heads[1:] - 1
-    last[tails] = at[tails]
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = _power_table(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    scale = down[start]
-    hashes = mix((sums[end] - sums[start]) * scale)
-    heads_of = [np.where(end - start > k, mix((sums[np.minimum(start + k, n)] - sums[start]) * scale + np.uint64(k)),
-                         np.uint64(0)) for k in prefixes]
-    return (hashes, start, np.searchsorted(start, offsets), *heads_of)
+    start, end, bounds = runs(at, offsets)
+    if not len(start):
+        return (np.zeros(0, np.uint64), start, bounds, *[np.zeros(0, np.uint64)] * len(prefixes))
+    length = end - start
+    base = np.cumsum(length) - length
+    place = np.arange(base[-1] + length[-1]) - np.repeat(base, length)  # of each byte in its word
+    share = (_LOWER[raw[at]].astype(np.uint64) + np.uint64(1)) * powers(int(length.max()))[place]
+    heads = [np.where(length > k, mix(np.add.reduceat(np.where(place < k, share, np.uint64(0)), base) + np.uint64(k)),
+                      np.uint64(0)) for k in prefixes]
+    return (mix(np.add.reduceat(share, base)), start, bounds, *heads)
 
 
 def shingles(hashes: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

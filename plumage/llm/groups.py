@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 GROUP_BYTES = 8 << 20
 #: Text that a task gathers before it sends packed rows.
-PACK_BYTES = 24 << 20
+PACK_BYTES = 8 << 20
 
 
 def text_bytes(docs: DataFrame, text_col: str = "text") -> int:

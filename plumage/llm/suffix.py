@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumage.llm import groups as G
-from plumage.llm.common import _power_table, flat_bytes, land, mix, text_or_empty
+from plumage.llm.common import flat_bytes, gram_hashes, land, mix, text_or_empty
 
 LENGTH = 100
 GRAM = 32
@@ -39,7 +39,7 @@ GRAM = 32
 BUCKET_BYTES = 4 << 20
 #: Runs of one key in the corpus from which its windows travel one by one.
 FREQUENT = 500
-_SLICE = 4 << 20
+_SLICE = 512 << 10
 _NO_ID = (1 << 63) - 1  # stands for a NULL id: after every other document
 
 
@@ -187,13 +187,6 @@ def window_runs(offsets: np.ndarray, raw: np.ndarray, length: int, gram: int) ->
     return tuple(np.concatenate(c) for c in zip(*parts)) if parts else none
 
 
-def _gram_hashes(raw: np.ndarray, size: int) -> np.ndarray:
-    up, down = _power_table(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=sums[1:])
-    return mix((sums[size:] - sums[:-size]) * down[:len(raw) - size + 1])
-
-
 def _sliding(pick: np.ufunc, values: np.ndarray, span: int) -> np.ndarray:
     """Minimum or maximum over every ``span`` neighbouring values, by doubling."""
     n, width = len(values) - span + 1, 1
@@ -207,7 +200,7 @@ def _slice_runs(offsets: np.ndarray, raw: np.ndarray, length: int, gram: int):
     n = len(raw) - length + 1
     if n <= 0:
         return None
-    grams, span = _gram_hashes(raw, gram), length - gram + 1
+    grams, span = gram_hashes(raw, gram), length - gram + 1
     least = _sliding(np.minimum, grams, span)
     inside = np.ones(n, bool)
     for begin, end in zip(offsets[:-1], offsets[1:]):
