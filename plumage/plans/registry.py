@@ -392,13 +392,13 @@ def q_compare_models(spark, sf_dir):
 
 def q_model_node_checks(spark, sf_dir):
     """Nodes of the flagship's models that contradict their counts, per tree; of the
-    tree also those whose counts differ from the training rows that pass them."""
+    tree also those whose counts differ from the training rows that pass them (forest: -1)."""
     fs = jobs.build_features(jobs.cleaned_profiles(spark, sf_dir, "train"))
     models = jobs.fit_models(fs)
     parts = []
     for name, model in models.items():
         nodes = cut_lineage(trees.node_table(model), "nodes")
-        wrong = F.lit(None).cast("long")
+        wrong = F.lit(-1).cast("long")
         if name == "decision_tree":  # a forest's tree has a random sample of its own
             again = trees.recount(model, fs.features.where("split = 'train'"))
             both = trees.node_counts(nodes).join(again.withColumnRenamed("n", "n_rows"), ["node", "label"], "full")

@@ -130,7 +130,8 @@ NODES_DEPTH = 12
 
 
 def q_decision_tree_nodes_rule(spark, sf_dir):
-    """Every node of a tree on the stairs for depth, with its counts and those made again from the rows."""
+    """Every node of a tree on the stairs for depth (-1: no parent, no feature), with its counts and those made
+    again from the rows."""
     fs = stairs_features(spark, sf_dir, DEPTH)
     model = train(fs.features, decision_tree(params={"maxDepth": NODES_DEPTH}))
     nodes = trees.node_table(model)
@@ -138,7 +139,8 @@ def q_decision_tree_nodes_rule(spark, sf_dir):
     names = spark.createDataFrame([(float(i), name) for i, name in enumerate(fs.labels)], "label double, class string")
     counted = trees.node_counts(nodes).join(again, ["node", "label"], "full").join(names, "label")
     return nodes.join(counted, ["tree", "node"]).select(
-        "node", "parent", "feature", F.round("threshold", 6).alias("threshold"), F.round("gain", 6).alias("gain"),
+        "node", F.coalesce("parent", F.lit(-1)).alias("parent"), F.coalesce("feature", F.lit(-1)).alias("feature"),
+        F.round("threshold", 6).alias("threshold"), F.round("gain", 6).alias("gain"),
         "class", "n", "n_rows")
 
 
@@ -209,8 +211,8 @@ stat as (select node, any_value(j) as j, any_value(split_on) as split_on, sum(n)
 gained as (select s.*, s.impurity - (l.size * l.impurity + r.size * r.impurity) / s.size as gain
   from stat s left join stat l on s.split_on and l.node = s.node + 1
   left join stat r on s.split_on and r.node = s.node + 2)
-select h.node::int as node, case when h.node = 0 then null else 2 * (h.j - (h.node % 2 = 0)::int) end::int as parent,
-       case when g.split_on then 0 end::int as feature, case when g.split_on then g.j + 0.5 end::double as threshold,
+select h.node::int as node, case when h.node = 0 then -1 else 2 * (h.j - (h.node % 2 = 0)::int) end::int as parent,
+       case when g.split_on then 0 else -1 end::int as feature, case when g.split_on then g.j + 0.5 end::double as threshold,
        case when g.split_on then round(gain, 6) end as gain, {_NAME.format('k')} as class, n, n as n_rows
 from held h join gained g on h.node = g.node""",
 }
