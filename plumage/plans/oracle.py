@@ -358,8 +358,8 @@ from sel where {TRAIN} and not ({USABLE})""",
     **STAIR_ORACLE,
     # no node may contradict its counts: one tree, 20 trees of the forest
     "model_node_checks": """select 'decision_tree' as model, 0 as tree, 0::bigint as bad_counts, 0::bigint as bad_gain,
-       0::bigint as bad_prediction, 0::bigint as bad_recount
-union all select 'random_forest', range::int, 0, 0, 0, -1 from range(20)""",
+       0::bigint as bad_prediction, 0::bigint as bad_recount, 0::bigint as bad_cells
+union all select 'random_forest', range::int, 0, 0, 0, -1, -1 from range(20)""",
     "train_evaluate_rows": f"""with {SEL}
 select model, {split_label_sql('doc_id')} as split, gender, count(*)::bigint as n
 from sel, (values ('decision_tree'), ('random_forest')) as m(model) where {TRAIN} and {USABLE} group by all""",

@@ -392,19 +392,27 @@ def q_compare_models(spark, sf_dir):
 
 def q_model_node_checks(spark, sf_dir):
     """Nodes of the flagship's models that contradict their counts, per tree; of the
-    tree also those whose counts differ from the training rows that pass them (forest: -1)."""
+    tree also those whose counts differ from the training rows that pass them, and the
+    cells of the scored training matrix that differ from its leaves' counts (forest: -1,
+    its trees have random samples of their own)."""
     fs = jobs.build_features(jobs.cleaned_profiles(spark, sf_dir, "train"))
     models = jobs.fit_models(fs)
+    scored = jobs.evaluate(fs, models).confusion.where("split = 'train' and model = 'decision_tree'").groupBy(
+        F.col("gender_indexed").alias("label"), "prediction").agg(F.sum("n").alias("n_scored"))
     parts = []
     for name, model in models.items():
         nodes = cut_lineage(trees.node_table(model), "nodes")
-        wrong = F.lit(-1).cast("long")
-        if name == "decision_tree":  # a forest's tree has a random sample of its own
+        wrong = cells = F.lit(-1).cast("long")
+        if name == "decision_tree":
             again = trees.recount(model, fs.features.where("split = 'train'"))
             both = trees.node_counts(nodes).join(again.withColumnRenamed("n", "n_rows"), ["node", "label"], "full")
             wrong = both.where("n is distinct from n_rows").agg(F.count(F.lit(1))).scalar()
+            leaves = trees.node_counts(nodes).join(nodes.where("left is null").select("node", "prediction"), "node")
+            matrix = leaves.groupBy("label", "prediction").agg(F.sum("n").alias("n"))
+            cells = matrix.join(scored, ["label", "prediction"], "full").where("n is distinct from n_scored").agg(
+                F.count(F.lit(1))).scalar()
         parts.append(trees.node_checks(nodes).select(
-            F.lit(name).alias("model"), "tree", "bad_counts", "bad_gain", "bad_prediction", wrong.alias("bad_recount")))
+            F.lit(name).alias("model"), "tree", "bad_counts", "bad_gain", "bad_prediction", wrong.alias("bad_recount"), cells.alias("bad_cells")))
     return parts[0].unionByName(parts[1])
 
 
