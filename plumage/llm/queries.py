@@ -161,6 +161,52 @@ from documents d join g on coalesce(d.text, '') = g.t
 
 _UPPER, _LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_MINHASH_SQL = f"""
+with recursive split as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWERED}'), '[^\\x20\\x09-\\x0D]+') as words
+  from documents),
+shingled as (
+  select distinct doc_id, unnest(case when len(words) = 0 then []::varchar[] when len(words) < 5 then [array_to_string(words, ' ')]
+    else list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) end) as g from split),
+sizes as (select doc_id, count(*)::bigint as n from shingled group by doc_id),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c from shingled a join shingled b on a.g = b.g and a.doc_id < b.doc_id
+  group by all),
+links as (
+  select x, y from shared join sizes sx on sx.doc_id = x join sizes sy on sy.doc_id = y where 100 * c >= 85 * (sx.n + sy.n - c)),
+both_ways as (select x, y from links union all select y, x from links),
+reach(here, there) as (
+  select doc_id, doc_id from documents union select r.here, b.y from reach r join both_ways b on r.there = b.x),
+least as (select here, min(there) as component_id from reach group by here)
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d join least on here = d.doc_id left join sizes s on s.doc_id = d.doc_id
+"""
+
+_SUFFIX_SQL = """
+with coded as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, ''))::bigint as n from documents),
+blocks as (select doc_id, n, h, unnest(range(0, n - 99, 100)) as lo from coded where n >= 100),
+stretches as (select doc_id, n, lo, substr(h, 2 * lo + 1, 398) as part from blocks),
+starts as (select doc_id, n, lo, part, unnest(range(100)) as i from stretches),
+ordered as (
+  select doc_id, lo + i as s, row_number() over (partition by md5(substr(part, 2 * i + 1, 200)) order by doc_id, lo + i) as nth
+  from starts where lo + i <= n - 100),
+covered as (
+  select doc_id, s, coalesce(s > lag(s) over w + 100, true) as opens from ordered where nth > 1
+  window w as (partition by doc_id order by s)),
+numbered as (select doc_id, s, sum(opens::int) over (partition by doc_id order by s) as run from covered),
+runs as (select doc_id, run, min(s) as a, max(s) + 100 as z from numbered group by all),
+gaps as (
+  select doc_id, a, z, coalesce(lag(z) over (partition by doc_id order by a), 0) as after from runs),
+cut as (
+  select g.doc_id, sum(z - a)::bigint as n_removed, count(*)::bigint as n_spans, max(z) as last,
+         string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' order by a) as head
+  from gaps g join coded c on g.doc_id = c.doc_id group by g.doc_id)
+select c.doc_id, c.n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) as kept_sha256
+from coded c left join cut t on c.doc_id = t.doc_id
+"""
+
 _IMPORTANCE_SQL = f"""
 with recursive texts as (
   select 'd' as side, doc_id, text from documents
@@ -238,6 +284,8 @@ from formed f join way on f.word = way.word join formed e on way.here = e.word w
 
 ORACLE: dict[str, str] = {
     "op2_line_dedup": _LINES_SQL,
+    "op7_minhash": _MINHASH_SQL,
+    "op8_suffix_dedup": _SUFFIX_SQL,
     "op9_exact_dedup": _EXACT_SQL,
     "op11_importance": _IMPORTANCE_SQL,
     "op12_spelling": _SPELLING_SQL,
