@@ -8,6 +8,7 @@ does not depend on how many rows Spark packs into a batch.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Iterator
 
@@ -73,6 +74,20 @@ def gram_hashes(raw: np.ndarray, size: int) -> np.ndarray:
         width, scale = 2 * width, scale * scale % _MODULUS
 
 
+@functools.lru_cache(maxsize=1)
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda _: 0
+
+
+def release() -> None:
+    """Give memory that is free back to the system: a worker lives on after its task, beside other workers and the JVM."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Scramble 64-bit integers (xor-shift-multiply finaliser)."""
     h = h ^ (h >> np.uint64(30))
@@ -99,6 +114,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+    release()
 
 
 def flat_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -19,6 +19,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumage.llm.common import release
+
 GROUP_BYTES = 8 << 20
 #: Text that a task gathers before it sends packed rows.
 PACK_BYTES = 8 << 20
@@ -57,6 +59,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, size = [], 0
     if held:
         yield flush()
+    release()
 
 
 def to_blob(table: pa.Table) -> bytes:
@@ -68,6 +71,7 @@ def to_blob(table: pa.Table) -> bytes:
 
 
 def from_blobs(blobs: pa.ChunkedArray, sort_by: list[tuple[str, str]] | None = None) -> pa.Table:
+    release()  # what the group before left
     table = pa.concat_tables([pa.ipc.open_stream(b.as_buffer()).read_all() for b in blobs])
     return table.sort_by(sort_by) if sort_by else table
 

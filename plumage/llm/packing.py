@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumage.llm.common import land
+from plumage.llm.common import land, release
+
 SEQUENCE = 2048
 END_ID = 1
 #: Words whose ids a Python worker remembers (bounds its memory).
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 17
 
 _TOKEN_SCHEMA = "id long, task int, task_start long, doc_tokens long, ids binary"
 PIECES = "{id} long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -137,6 +138,7 @@ def _tokenize(path: str, end_id: int):
                 yield pa.record_batch(
                     [part.column(0), pa.array(np.full(len(n), task, np.int32)), pa.array(starts), pa.array(n),
                      pa.array(ids, pa.binary())], ["id", "task", "task_start", "doc_tokens", "ids"])
+        release()
     return run
 
 

@@ -73,7 +73,7 @@ def _trusted_split(table: pa.Table, trusted: pa.Table) -> tuple[np.ndarray, np.n
     return hit, hit & ~held[at]
 
 
-def _group_slices(table: pa.Table, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _group_slices(table: pa.Table, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     offsets, raw = flat_bytes(G.one_array(table.column("text")))
     lo = 0
     while lo < table.num_rows:
