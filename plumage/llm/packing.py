@@ -26,8 +26,8 @@ from plumage.llm.common import land, release
 
 SEQUENCE = 2048
 END_ID = 1
-#: Words whose ids a Python worker remembers (bounds its memory).
-REMEMBERED = 1 << 17
+#: Words whose ids a Python worker remembers in each of two generations (bounds its memory).
+REMEMBERED = 3 << 17
 
 _TOKEN_SCHEMA = "id long, task int, task_start long, doc_tokens long, ids binary"
 PIECES = "{id} long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -60,7 +60,7 @@ class WordIds(dict):
     tokens' strings, and all texts if the file has other rules than these.
     """
 
-    _pieces: dict[str, bytes]
+    _old: dict[str, bytes]  # the generation before: what is still in use moves to the new one
 
     def __init__(self, path: str):
         super().__init__()
@@ -85,24 +85,23 @@ class WordIds(dict):
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in plain]
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-        self._pieces = {}
+        self._old = {}
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        found = self._pieces.get(piece)
-        if found is None:
-            mapped = "".join(map(self.alphabet.__getitem__, piece.encode()))
-            found = self._bytes([t.id for t in self.model.tokenize(mapped)])
-            if len(self._pieces) >= REMEMBERED:
-                self._pieces.clear()
-            self._pieces[piece] = found
-        return found
+    def _encoded(self, piece: str) -> bytes:
+        mapped = "".join(map(self.alphabet.__getitem__, piece.encode()))
+        return self._bytes([t.id for t in self.model.tokenize(mapped)])
 
     def __missing__(self, word: str) -> bytes:
-        found = b"".join(map(self._piece, self.split.findall(word)))
+        found = self._old.pop(word, None)
+        if found is None:
+            pieces = self.split.findall(word)
+            # a piece is a word of one piece: one table for both
+            found = self._encoded(word) if pieces == [word] else b"".join(map(self.__getitem__, pieces))
         if len(self) >= REMEMBERED:
+            self._old = dict(self)
             self.clear()
         self[word] = found
         return found
