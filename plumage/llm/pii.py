@@ -5,21 +5,31 @@ patterns; these are the protected entities. Words that share documents with an
 entity may give it away although they have no form: over the whole corpus, the
 pointwise mutual information of a term and an entity says how many bits the term
 discloses, the entity's own information content how many there are. A term that
-discloses most of it is removed, one that discloses a good part is generalised,
-wherever the corpus has that term.
+discloses most of it is removed wherever the corpus has it; one that discloses a
+good part is generalised to its longest beginning that discloses less, judged by
+the most frequent word that begins so, or removed if there is none.
+
+Very many pairs of an entity and a term are tested, so the evidence asked of each
+grows with their number (Bonferroni). A pair's log-likelihood ratio is at most
+that of a term in just the entity's documents; entities for which even this is
+too little are left out before any pair is counted, which changes no result. So in
+a large corpus one shared document proves nothing, two exclusive ones do.
+
+One pass over the texts gives the matches and the distinct words of each
+document; all counts, and the choice of the words to place, are joins on that
+landed table. Only documents that hold a disclosing term are read again, and only
+those terms are placed in them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumage.functions.text import let
 from plumage.llm.common import land, text_or_empty
 
 # The kinds in their order, and the forms searched for. Each
@@ -40,17 +50,16 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 WORD = r"\p{L}{3,}"
 
-#: Words of a text that are placed at once.
-CHUNK = 64
-#: G2 (log-likelihood ratio, 1 degree of freedom) an entity and a term must reach
-#: to count as associated: 1 %. One common document suffices from 11 documents on.
-SIGNIFICANT = 6.63
+#: Chance that a corpus without any association shows one (over all pairs that are tested).
+ALPHA = 0.05
 #: Share of the entity's information a term may disclose: over the first it is
 #: generalised, over the second removed.
 GENERALISE, REMOVE = 0.7, 0.95
-_BLOOM = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-          "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
-          "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g"}
+#: A generalised form is a beginning of the word with this part of its letters (and three at least).
+FORM_PARTS = (3 / 4, 1 / 2)
+SHORTEST_FORM = 3
+#: Rows up to which a counted table is sent to every task instead of shuffling the corpus' words to it.
+SENT_ROWS = 250_000
 
 
 def _found(kind: str) -> tuple[Column, Column]:
@@ -82,24 +91,38 @@ def _holds(kind: Column, match: Column) -> Column:
             .otherwise(n.between(10, 15)))
 
 
-def entity_mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every pattern match, and one row without a match for documents that have none.
+def _words(text: Column) -> Column:
+    """The distinct words of a text, lower-cased."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
+
 
-    (uid, id, row, kind, entity, start, end): offsets in code points, end
-    exclusive. ``uid`` numbers the rows of ``docs``, ``row`` hashes the text.
-    NULL texts are empty.
+def scanned_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(uid, id, row, kinds, terms) per row of ``docs``, all that its text is needed for but placing.
+
+    ``uid`` numbers the rows, ``row`` hashes the text; ``kinds`` has the matches
+    of each pattern with the gaps before them, ``terms`` the distinct words.
     """
+    text = F.col("text")
     base = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("id"),
                        text_or_empty(text_col).alias("text"))
     kinds = []
     for kind in KINDS:
         matches, pieces = _found(kind)
-        kinds.append(F.struct(F.lit(kind).alias("kind"), matches.alias("matches"), pieces.alias("pieces")))
-    per_kind = base.select("uid", "id", F.xxhash64("text").alias("row"), F.explode_outer(
-        F.filter(F.array(*kinds), lambda k: F.size(k["matches"]) > 0)).alias("k"))
+        gaps = F.transform(pieces, lambda x: F.length(x))
+        kinds.append(F.struct(F.lit(kind).alias("kind"), matches.alias("matches"), gaps.alias("gaps")))
+    return base.select("uid", "id", F.xxhash64("text").alias("row"),
+                       F.filter(F.array(*kinds), lambda k: F.size(k["matches"]) > 0).alias("kinds"), _words(text).alias("terms"))
+
+
+def entity_mentions(rows: DataFrame) -> DataFrame:
+    """Every pattern match of :func:`scanned_rows`, and one row without a match for documents that have none.
+
+    (uid, id, row, kind, entity, start, end): offsets in code points, end exclusive.
+    """
+    per_kind = rows.select("uid", "id", "row", F.explode_outer("kinds").alias("k"))
     rows = per_kind.select("uid", "id", "row", F.col("k.kind").alias("kind"), F.posexplode_outer(F.transform(
         "k.matches", lambda m, i: F.struct(
-            m.alias("entity"), F.length(F.get("k.pieces", i)).alias("gap")))).alias("pos", "m"))
+            m.alias("entity"), F.get("k.gaps", i).alias("gap")))).alias("pos", "m"))
     rows = rows.select("uid", "id", "row", "kind", "pos", "m.*")
     before = Window.partitionBy("uid", "kind").orderBy("pos")
     size = F.length("entity")
@@ -109,66 +132,6 @@ def entity_mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.select("uid", "id", "row", *kept)
 
 
-def _words(text: Column) -> Column:
-    """The distinct words of a text, lower-cased."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
-
-
-def word_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, row, term, start, end) of every word of every text.
-
-    A text is cut into chunks of CHUNK words and each is placed from its own
-    start, so that the work stays in proportion to the text.
-    """
-    text = F.col("text")
-    base = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    # one gap more than words: the last follows the last word
-    words = F.zip_with(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)),
-                       F.transform(F.split(text, WORD, -1), F.length),
-                       lambda w, gap: F.struct(F.lower(w).alias("term"), F.coalesce(F.length(w), F.lit(0)).alias("n"),
-                                               gap.alias("gap")))
-    chunks = let(words, lambda w: F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(w) - 1) / CHUNK).cast("int")),
-        lambda c: F.slice(w, c * CHUNK + 1, F.lit(CHUNK))))
-    zero = F.lit(0).cast("long")
-    size = lambda chunk: F.aggregate(chunk, zero, lambda total, w: total + w["gap"] + w["n"])
-    none = F.array().cast("array<struct<at:bigint,words:array<struct<term:string,n:int,gap:int>>>>")
-    placed = F.aggregate(chunks, F.struct(zero.alias("at"), none.alias("out")), lambda acc, chunk: F.struct(
-        (acc["at"] + size(chunk)).alias("at"),
-        F.concat(acc["out"], F.array(F.struct(acc["at"].alias("at"), chunk.alias("words")))).alias("out")),
-        lambda acc: acc["out"])
-    rows = base.select("id", F.xxhash64("text").alias("row"), F.explode_outer(placed).alias("c"))
-
-    def step(acc: Column, w: Column) -> Column:
-        end = acc["at"] + w["gap"] + w["n"]
-        one = F.struct(w["term"].alias("term"), (end - w["n"]).alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(w["term"].isNull(), acc["out"])
-                        .otherwise(F.concat(acc["out"], F.array(one))).alias("out"))
-    none = F.array().cast("array<struct<term:string,start:bigint,end:bigint>>")
-    found = F.aggregate("c.words", F.struct(F.col("c.at").alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return rows.select("id", "row", F.explode_outer(found).alias("w")).where("w is not null").select("id", "row", "w.*")
-
-
-def common_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(kind, entity, term, n_both): documents that hold both, over their whole texts."""
-    def held(kind: str) -> Column:
-        return F.transform(F.filter(_found(kind)[0], lambda m: _holds(F.lit(kind), m)),
-                           lambda m: F.struct(F.lit(kind).alias("kind"), F.lower(m).alias("entity")))
-    text = F.col("text")
-    entities = F.array_distinct(F.concat(*[held(kind) for kind in KINDS]))
-    holds = F.filter(F.array(F.struct(entities.alias("entities"), text)), lambda d: F.size(d["entities"]) > 0)
-    rows = docs.select(text_or_empty(text_col).alias("text")).select(F.explode_outer(holds).alias("d"))
-    rows = rows.where("d is not null").select("d.entities", _words(F.col("d.text")).alias("words"))
-    rows = rows.select(F.explode_outer("entities").alias("e"), "words")
-    rows = rows.select("e.kind", "e.entity", F.explode_outer("words").alias("term")).where("term is not null")
-    return rows.groupBy("kind", "entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-
-
-def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, n_term): documents that hold each word, over the whole corpus."""
-    return docs.select(F.explode_outer(_words(text_or_empty(text_col))).alias("term")).where("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-
-
 def _g2(both: Column, entity: Column, term: Column, n: Column) -> Column:
     """Log-likelihood ratio of the 2 x 2 table of documents with and without the entity and the term."""
     def cell(seen: Column, row: Column, col: Column) -> Column:
@@ -177,68 +140,142 @@ def _g2(both: Column, entity: Column, term: Column, n: Column) -> Column:
                 + cell(term - both, n - entity, term) + cell(n - entity - term + both, n - entity, n - term))
 
 
-def disclosures(docs: DataFrame, mentions: DataFrame, text_col: str = "text",
-                significant: float = SIGNIFICANT, generalise: float = GENERALISE) -> DataFrame:
-    """(kind, entity, term, share): terms that disclose at least ``generalise`` of an entity.
+def evidence(pairs: int, alpha: float = ALPHA) -> float:
+    """Log-likelihood ratio (1 degree of freedom) that none of ``pairs`` unrelated pairs reaches, but with chance ``alpha``."""
+    chance = alpha / max(pairs, 1)
+    low, high = 0.0, 2000.0
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if math.erfc(math.sqrt(middle / 2)) > chance else (low, middle)
+    return high
+
+
+def _sent(table: DataFrame) -> DataFrame:
+    """A landed table for a join with the corpus: broadcast if it is counted to be small, else as it is."""
+    return F.broadcast(table) if table.count() <= SENT_ROWS else table
+
+
+def _share(both: Column, entity: Column, term: Column, n: Column) -> Column:
+    """PMI(entity; term) / IC(entity) over documents."""
+    return F.log(both * n / (entity * term)) / F.log(n / entity)
+
+
+def disclosures(rows: DataFrame, mentions: DataFrame, vocabulary: DataFrame, alpha: float = ALPHA,
+                generalise: float = GENERALISE) -> DataFrame:
+    """(kind, entity, term, n_entity, n_docs, share): terms that disclose at least ``generalise`` of an entity.
 
     share = PMI(entity; term) / IC(entity), with probabilities over documents:
     PMI = log(n_both * N / (n_entity * n_term)), IC = log(N / n_entity). An
-    entity that every document holds has no information to disclose. Entities
-    of one document are judged like all others.
+    entity that every document holds has no information to disclose.
     """
     entity = ["kind", "entity"]
-    lowered = mentions.where("entity is not null").select("uid", "kind", F.lower("entity").alias("entity"))
-    n_entity = lowered.distinct().groupBy(*entity).agg(F.count(F.lit(1)).alias("n_entity"))
-    both = land(common_documents(docs, text_col), "pii-pairs")
-    wanted = both.select("term").distinct()
-    n_term = document_frequencies(docs, text_col).join(wanted, "term")
-    n = docs.select(F.count(F.lit(1)).alias("n")).scalar()
-    pmi = F.log(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
-    share = pmi / F.log(n / F.col("n_entity"))
-    return (both.join(n_entity, entity).join(n_term, "term").where(F.col("n_entity") < n)
-            .where(_g2(F.col("n_both"), F.col("n_entity"), F.col("n_term"), n) >= significant)
-            .withColumn("share", share).where(F.col("share") >= generalise).select(*entity, "term", "share"))
-
-
-@contextmanager
-def _filtered_early(spark: SparkSession) -> Iterator[None]:
-    """Let Spark's runtime Bloom filter (of bounded size) drop most words before they are shuffled to a join."""
-    before = {k: spark.conf.get(k) for k in _BLOOM}
-    try:
-        for k, v in _BLOOM.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-
-
-def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", significant: float = SIGNIFICANT,
+    held = mentions.where("entity is not null").select("uid", "kind", F.lower("entity").alias("entity")).distinct()
+    held = land(held, "pii-held")
+    n_docs = rows.count()
+    n = F.lit(n_docs)
+    per_row = held.groupBy("uid").agg(F.count(F.lit(1)).alias("entities"))
+    pairs = per_row.join(rows.select("uid", F.size("terms").alias("terms")), "uid").agg(
+        F.coalesce(F.sum(F.col("entities") * F.col("terms")), F.lit(0)).alias("pairs")).first()["pairs"]
+    enough = evidence(pairs, alpha)
+    size = F.col("n_entity")
+    judged = land(held.groupBy(*entity).agg(F.count(F.lit(1)).alias("n_entity")).where(
+        (size < n) & (_g2(size, size, size, n) >= enough)), "pii-judged")
+    own = land(held.join(judged, entity).select("uid", *entity), "pii-judged-rows")
+    both = rows.select("uid", "terms").join(_sent(own), "uid").select(*entity, F.explode("terms").alias("term"))
+    both = both.groupBy(*entity, "term").agg(F.count(F.lit(1)).alias("n_both"))
+    return (both.join(judged, entity).join(vocabulary, "term")
+            .where(_g2(F.col("n_both"), size, F.col("n_term"), n) >= enough)
+            .withColumn("share", _share(F.col("n_both"), size, F.col("n_term"), n)).where(F.col("share") >= generalise)
+            .select(*entity, "term", "n_entity", n.cast("long").alias("n_docs"), "share"))
+
+
+def _forms(term: Column) -> Column:
+    """Beginnings of a word that may stand for it, the longest first."""
+    sizes = [F.greatest(F.ceil(F.length(term) * part).cast("int"), F.lit(SHORTEST_FORM)) for part in FORM_PARTS]
+    cut = F.array_distinct(F.array(*[F.substring(term, F.lit(1), size) for size in sizes]))
+    return F.filter(cut, lambda form: F.length(form) < F.length(term))
+
+
+def general_forms(bad: DataFrame, vocabulary: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+    """(term, share, form) of all disclosing terms; ``form`` is NULL for those to be removed.
+
+    A form's documents hold any word that begins with it: at least as many as
+    hold the most frequent such word, and those with the entity are at most the
+    entity's. A form may stand for the term if even by these bounds it discloses
+    less than ``generalise`` of every entity that the term discloses. So the
+    choice needs the vocabulary's counts only, and never takes a form that
+    discloses more; a form that only an exact count would allow is not taken.
+    """
+    worst = bad.groupBy("term").agg(F.max("share").alias("share"))
+    mild = bad.join(worst.where(F.col("share") < remove).select("term"), "term").withColumn("form", F.explode(_forms(F.col("term"))))
+    mild = land(mild.select("term", "n_entity", "n_docs", "form"), "pii-mild")
+    wanted = land(mild.select("form").distinct(), "pii-forms")
+    sizes = [r["size"] for r in wanted.select(F.length("form").alias("size")).distinct().orderBy("size").collect()]
+    begins = F.array(*[F.when(F.length("term") >= size, F.substring("term", 1, size)) for size in sizes]) if sizes \
+        else F.array().cast("array<string>")
+    n_form = vocabulary.select("n_term", F.explode(F.filter(begins, lambda form: form.isNotNull())).alias("form")).join(
+        _sent(wanted), "form").groupBy("form").agg(F.max("n_term").alias("n_form"))
+    shares = mild.join(n_form, "form").withColumn(
+        "share", F.log(F.col("n_docs") / F.col("n_form")) / F.log(F.col("n_docs") / F.col("n_entity")))
+    fits = shares.groupBy("term", "form").agg(F.max("share").alias("share")).where(F.col("share") < generalise)
+    chosen = fits.groupBy("term").agg(F.max_by("form", F.length("form")).alias("form"))
+    return worst.join(chosen, "term", "left").select("term", "share", "form")
+
+
+def term_places(docs: DataFrame, own: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, row, term, start, end) of the words that ``own`` (id, row, terms) names for a document.
+
+    The other words are not placed: the document's own words in question form a
+    pattern, and the lengths of the text between its matches are summed.
+    """
+    base = docs.select(F.monotonically_increasing_id().alias("place"), F.col(id_col).cast("long").alias("id"),
+                       text_or_empty(text_col).alias("text")).withColumn("row", F.xxhash64("text"))
+    own = land(own.dropDuplicates(["id", "row"]), "pii-own-texts")
+    key = _sent(own.select(F.col("id").alias("_id"), F.col("row").alias("_row"), "terms"))
+    rows = base.join(key, F.col("id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))).select(
+        "place", "id", "row", "text", "terms")
+    spelled = F.array_distinct(F.filter(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)),
+                                        lambda w: F.array_contains(F.col("terms"), F.lower(w))))
+    rows = rows.withColumn("spelled", F.array_join(spelled, "|")).where("spelled <> ''")
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.col("spelled"), F.lit(r")(?!\p{L})"))
+    found = F.arrays_zip(F.regexp_extract_all("text", pattern, F.lit(0)).alias("word"),
+                         F.transform(F.split("text", pattern, -1), lambda x: F.length(x)).alias("gap"))
+    placed = rows.select("place", "id", "row", F.posexplode(found).alias("pos", "w")).where("w.word is not null")
+    before = Window.partitionBy("place").orderBy("pos")
+    size = F.length("w.word")
+    placed = placed.withColumn("end", F.sum(F.col("w.gap") + size).over(before).cast("long"))
+    return placed.select("id", "row", F.lower("w.word").alias("term"), (F.col("end") - size).alias("start"), "end")
+
+
+def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
                     generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """(id, row, spans) for every row of ``docs``; spans are (start, rank, kind, end, action).
+    """(id, row, spans) for every row of ``docs``; spans are (start, rank, kind, end, action, form).
 
     Pattern spans have their kind and action ``remove``. A word that discloses
     too much of any entity is a span of kind ``term`` with action ``generalise``
-    or ``remove`` wherever it occurs, also in documents without the entity, but
-    not inside a pattern span. Spans of different kinds may overlap; they are
-    sorted by start, then kind. ``row`` hashes the text, so repeated ids stay
-    apart; repeated rows are reported each. NULL and empty texts have no spans;
-    an empty table gives an empty result; other columns are ignored.
+    (to ``form``) or ``remove`` wherever it occurs, also in documents without the
+    entity, but not inside a pattern span. Spans of different kinds may overlap;
+    they are sorted by start, then kind. ``row`` hashes the text, so repeated ids
+    stay apart; repeated rows are reported each. NULL and empty texts have no
+    spans; an empty table gives an empty result; other columns are ignored.
     """
-    mentions = land(entity_mentions(docs, id_col, text_col), "pii-mentions")
-    bad = land(disclosures(docs, mentions, text_col, significant, generalise)
-               .groupBy("term").agg(F.max("share").alias("share")), "pii-disclosures")
-    with _filtered_early(docs.sparkSession):
-        terms = land(word_places(docs, id_col, text_col).join(bad.where(F.col("share") >= generalise), "term")
-                     .select("id", "row", "start", "end", "share"), "pii-terms")
+    rows = land(scanned_rows(docs, id_col, text_col), "pii-rows")
+    mentions = land(entity_mentions(rows), "pii-mentions")
+    each = rows.select("uid", "id", "row", F.explode("terms").alias("term"))
+    vocabulary = land(each.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "pii-vocabulary")
+    bad = land(disclosures(rows, mentions, vocabulary, alpha, generalise), "pii-disclosures")
+    bad = land(general_forms(bad, vocabulary, generalise, remove), "pii-terms")
+    own = land(each.join(_sent(bad.select("term")), "term").groupBy("uid", "id", "row").agg(
+        F.collect_list("term").alias("terms")), "pii-own")
+    terms = term_places(docs, own, id_col, text_col).join(_sent(bad), "term")
     rank = reduce(lambda a, i: a.when(F.col("kind") == KINDS[i], i), range(len(KINDS)),
                   F.when(F.col("kind") == TERM, len(KINDS)))
-    one = F.struct("start", rank.alias("rank"), "kind", "end", "action")
-    found = (mentions.withColumn("action", F.lit("remove")).groupBy("uid", "id", "row")
+    one = F.struct("start", rank.alias("rank"), "kind", "end", "action", "form")
+    found = (mentions.withColumns({"action": F.lit("remove"), "form": F.lit(None).cast("string")}).groupBy("uid", "id", "row")
              .agg(F.collect_list(F.when(F.col("kind").isNotNull(), one)).alias("spans")))
-    action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
+    action = F.when(F.col("form").isNull(), "remove").otherwise("generalise")
     # a set: repeated rows place the same words
-    added = (terms.select("id", "row", F.lit(TERM).alias("kind"), "start", "end", action.alias("action"))
+    added = (terms.select("id", "row", F.lit(TERM).alias("kind"), "start", "end", action.alias("action"), "form")
              .groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(F.collect_set(one).alias("terms")))
     inside = lambda w: F.exists("spans", lambda s: (s["start"] <= w["start"]) & (w["end"] <= s["end"]))
     outside = F.filter("terms", lambda w: ~inside(w))
@@ -248,7 +285,7 @@ def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def sanitise(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, sanitised): texts with spans replaced by their kind, or by [WORD] if only generalised.
+    """(id, sanitised): texts with spans replaced by their kind, or by their form and * if generalised.
 
     ``spans`` is what :func:`sensitive_spans` gives. Of overlapping spans the
     first counts; what is left of a later one is replaced too.
@@ -260,7 +297,7 @@ def sanitise(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        label = F.when(s["action"] == "generalise", F.lit("[WORD]")).otherwise(
+        label = F.when(s["action"] == "generalise", F.concat(s["form"], F.lit("*"))).otherwise(
             F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
         plain = F.greatest(s["start"] - acc["at"], F.lit(0).cast("long"))
         return F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
