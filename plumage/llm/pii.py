@@ -234,11 +234,12 @@ def term_places(docs: DataFrame, own: DataFrame, id_col: str = "doc_id", text_co
     key = _sent(own.select(F.col("id").alias("_id"), F.col("row").alias("_row"), "terms"))
     rows = base.join(key, F.col("id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))).select(
         "place", "id", "row", "text", "terms")
-    spelled = F.array_distinct(F.filter(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)),
-                                        lambda w: F.array_contains(F.col("terms"), F.lower(w))))
-    rows = rows.withColumn("spelled", F.array_join(spelled, "|")).where("spelled <> ''")
-    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.col("spelled"), F.lit(r")(?!\p{L})"))
-    found = F.arrays_zip(F.regexp_extract_all("text", pattern, F.lit(0)).alias("word"),
+    mine = F.filter(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)),
+                    lambda w: F.array_contains(F.col("terms"), F.lower(w)))
+    rows = rows.withColumn("mine", mine).where(F.size("mine") > 0)
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join(F.array_distinct("mine"), "|"), F.lit(r")(?!\p{L})"))
+    # the words in question are in the order in which the pattern finds them
+    found = F.arrays_zip(F.col("mine").alias("word"),
                          F.transform(F.split("text", pattern, -1), lambda x: F.length(x)).alias("gap"))
     placed = rows.select("place", "id", "row", F.posexplode(found).alias("pos", "w")).where("w.word is not null")
     before = Window.partitionBy("place").orderBy("pos")
