@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from plumage.functions.split import split_label
 from plumage.operators.clean import clean_text, convert_colours, drop_reason, final_projection, prepare
 from plumage.operators.evaluate import confusion_matrix, joint_confusion, metrics
 from plumage.operators.features import fit_and_featurize, featurize, fit_features, label_list
-from plumage.operators.models import decision_tree, random_forest, train, with_prediction
+from plumage.operators.models import counted, decision_tree, random_forest, train, with_prediction
 from plumage.operators.profile import STAGES, stage_aggregates, stage_flags
 from plumage.session import cut_lineage, spread
 from plumage.sources.tables import profiles
@@ -93,6 +94,11 @@ class FeatureSet:
     labels: list[str]
     model: object
 
+    @cached_property
+    def counted(self) -> DataFrame:
+        """The features with equal rows counted, for fits and matrices."""
+        return counted(self.features)
+
 
 def build_features(clean: DataFrame, fit_on: str = "all", checkpoint: bool = True) -> FeatureSet:
     """Fit the pipeline and featurize; with ``checkpoint`` the feature table is
@@ -109,13 +115,15 @@ def build_features(clean: DataFrame, fit_on: str = "all", checkpoint: bool = Tru
 def fit_models(fs: FeatureSet, parallel: bool = True) -> dict:
     """Tree and forest with the reference's parameters, fitted side by side."""
     estimators = {"decision_tree": decision_tree(), "random_forest": random_forest()}
+    rows = fs.counted
     with ThreadPoolExecutor(max_workers=2 if parallel else 1) as pool:
-        futures = {k: pool.submit(train, fs.features, e) for k, e in estimators.items()}
+        futures = {k: pool.submit(train, fs.features, e, rows) for k, e in estimators.items()}
         return {k: f.result() for k, f in futures.items()}
 
 
 def score(fs: FeatureSet, models: dict) -> DataFrame:
-    scored = fs.features
+    """The feature rows, counted where many are equal, with each model's prediction."""
+    scored = fs.counted
     for name, m in models.items():
         scored = with_prediction(scored, m, name)
     return scored

@@ -133,7 +133,7 @@ def q_decision_tree_nodes_rule(spark, sf_dir):
     """Every node of a tree on the stairs for depth (-1: no parent, no feature), with its counts and those made
     again from the rows."""
     fs = stairs_features(spark, sf_dir, DEPTH)
-    model = train(fs.features, decision_tree(params={"maxDepth": NODES_DEPTH}))
+    model = train(fs.features, decision_tree(params={"maxDepth": NODES_DEPTH}), fs.counted)
     nodes = trees.node_table(model)
     again = trees.recount(model, fs.features.where("split = 'train'")).withColumnRenamed("n", "n_rows")
     names = spark.createDataFrame([(float(i), name) for i, name in enumerate(fs.labels)], "label double, class string")
