@@ -53,7 +53,7 @@ def rule_features(spark: SparkSession, sf_dir: str, columns: list[str], rule: st
 
 
 def _predictions(fs: jobs.FeatureSet, estimator) -> DataFrame:
-    scored = with_prediction(fs.features, train(fs.features, estimator), "rule")
+    scored = with_prediction(fs.features, train(fs.features, estimator, fs.counted), "rule")
     return scored.select(*KEYS, "split", "gender", label_name(fs.labels, "pred_rule").alias("predicted_gender"))
 
 
