@@ -48,6 +48,8 @@ CSV_SCHEMA = ("doc_id bigint, gender string, gender_gold string, `gender:confide
               "tweet_count string, link_color string, sidebar_color string, description string, text string")
 LINE_SCHEMA = ("doc_id bigint, gender string, gender_gold string, `gender:confidence` double, "
                "tweet_count double, link_color string, sidebar_color string, description string, text string")
+# a file with line breaks in cells is read whole by one task: files grow in number, not in size
+FILE_RECORDS = 10_000
 LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -82,12 +84,12 @@ def q_csv_infer_schema(spark, sf_dir):
 
 
 def q_csv_by_name(spark, sf_dir):
-    """Two files with the columns in different orders, read as one table by the names in their headers."""
+    """Files with the columns in two orders, read as one table by the names in their headers."""
     path = scratch_path(spark, "profiles-two-orders")
     p = profiles(spark, sf_dir)
     for part, names in enumerate((CSV_COLUMNS, CSV_COLUMNS[::-1])):
-        p.where(F.col("doc_id") % 2 == part).select(*[F.col(f"`{c}`") for c in names]).coalesce(2) \
-            .write.mode("append").options(header=True, **CSV_DIALECT).csv(path)
+        p.where(F.col("doc_id") % 2 == part).select(*[F.col(f"`{c}`") for c in names]) \
+            .write.mode("append").options(header=True, maxRecordsPerFile=FILE_RECORDS, **CSV_DIALECT).csv(path)
     return _rename_conf(read_by_name(spark, path, CSV_SCHEMA, multi_line=True, **CSV_DIALECT))
 
 
