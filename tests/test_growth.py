@@ -60,6 +60,11 @@ def test_training_partitions_are_bounded(repeated, monkeypatch):
     assert M.in_bounded_partitions(rows, 4000).rdd.getNumPartitions() == 6
 
 
+def test_training_partitions_are_no_more_than_run_at_once(repeated, spark):
+    at_once = spark.sparkContext.defaultParallelism
+    assert M.in_bounded_partitions(repeated.repartition(5 * at_once), 4000).rdd.getNumPartitions() == at_once
+
+
 def _documents(spark, folder, files):
     texts = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit('a "b",\n'), F.col("id").cast("string")).alias("text"),
                                     F.lit("en").alias("lang"), F.lit(9).cast("long").alias("n_chars"))
