@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
 from plumage.operators import models as M
+from plumage.operators import sweep as S
 from plumage.operators import trees
 from plumage.operators.features import FEATURES
 from plumage.plans import registry
@@ -65,6 +67,49 @@ def test_training_partitions_are_no_more_than_run_at_once(repeated, spark):
     assert M.in_bounded_partitions(repeated.repartition(5 * at_once), 4000).rdd.getNumPartitions() == at_once
 
 
+@pytest.fixture(scope="module")
+def single(spark):
+    """900 rows with vectors of their own and three labels."""
+    h = F.xxhash64("id")
+    rows = spark.range(900).select(
+        F.when(F.col("id") % 10 < 7, "train").otherwise("test").alias("split"), *[
+            F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)).cast("double").alias(f"x{k}") for k in range(6)], h.alias("h"))
+    label = F.when(F.col("x0") * 3 + F.col("x1") + F.pmod("h", F.lit(900)) > 2400, "a").when(F.col("x2") > 500, "b").otherwise("c")
+    rows = rows.withColumn("gender", label)
+    rows = StringIndexer(inputCol="gender", outputCol="gender_indexed").fit(rows).transform(rows)
+    out = VectorAssembler(inputCols=[f"x{k}" for k in range(6)], outputCol=FEATURES).transform(rows)
+    return out.select("split", "gender", "gender_indexed", FEATURES).cache()
+
+
+def test_a_cut_forest_is_the_fit_with_that_depth(single):
+    deep = M.train(single, M.random_forest(params={"maxDepth": 12, "maxBins": 8}, numTrees=4))
+    for depth, cut in trees.cut_forest(deep, [0, 3, 7, 12]):
+        fit = M.train(single, M.random_forest(params={"maxDepth": depth, "maxBins": 8}, numTrees=4))
+        # the fit states no impurity for a leaf that it tried to split
+        a, b = ([tuple(r) for r in trees.node_table(m).drop("impurity").orderBy("tree", "node").collect()] for m in (cut, fit))
+        assert a == b
+        both = M.with_prediction(M.with_prediction(single, cut, "cut"), fit, "fit")
+        assert both.where("pred_cut <> pred_fit").count() == 0
+
+
+def test_forest_sweep_fits_21_times_on_rows_dealt_once(single, monkeypatch):
+    points = {S._point_id(r["params"]): S._full(r["params"]) for r in S.grid("forest")}
+    served = S.families(points, "forest")
+    fits = S.fits_of(served, "forest")
+    assert len(fits) == 21 and sorted(fid for fids in fits for fid in fids) == sorted(points)
+    seen, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, rows, *a: seen.append(rows) or fit(self, rows, *a))
+    got = {r.value: r.accuracy for r in S.sweep(single, "forest", only=("maxDepth",), numTrees=3).collect()}
+    assert len(seen) == 1 and len(got) == 11
+    S.sweep(single, "forest", only=("minInfoGain",), numTrees=2).count()
+    assert len(seen) == 4 and seen[1] is seen[2] is seen[3] and not seen[1].is_cached  # kept while the sweep ran
+    test = single.where("split = 'test'")
+    for depth in (10, 16):
+        one = fit(M.random_forest(params={"maxDepth": depth}, numTrees=3), single.where("split = 'train'").select("gender_indexed", FEATURES))
+        right = M.with_prediction(test, one, "one").agg(F.avg((F.col("pred_one") == F.col("gender_indexed")).cast("double"))).first()[0]
+        assert got[float(depth)] == pytest.approx(right, abs=1e-6)
+
+
 def _documents(spark, folder, files):
     texts = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit('a "b",\n'), F.col("id").cast("string")).alias("text"),
                                     F.lit("en").alias("lang"), F.lit(9).cast("long").alias("n_chars"))
