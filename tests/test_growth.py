@@ -1,12 +1,14 @@
 """Work that may not grow faster than the rows: counted training rows, bounded files and partitions, one shuffle of texts."""
 
 import re
+import threading
 
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
+from plumage.functions import text as T
 from plumage.operators import models as M
 from plumage.operators import sweep as S
 from plumage.operators import trees
@@ -110,6 +112,43 @@ def test_forest_sweep_fits_21_times_on_rows_dealt_once(single, monkeypatch):
         assert got[float(depth)] == pytest.approx(right, abs=1e-6)
 
 
+def test_two_fits_run_at_once_where_both_copies_fit(spark, monkeypatch):
+    monkeypatch.setattr(S, "storage_memory_bytes", lambda _: 1000 * 4)
+    at_once = {n: S.fit_parallelism(n, 1, 21, spark) for n in (100, 240, 260, 420, 430, 2000)}
+    assert at_once == {100: 5, 240: 2, 260: 2, 420: 2, 430: 1, 2000: 1}
+    assert S.fit_parallelism(420, 1, 21, spark, max_parallel=1) == S.fit_parallelism(420, 1, 1, spark) == 1
+
+
+def test_forests_are_fitted_two_at_once_where_one_copy_takes_four_tenths(single, monkeypatch):
+    n_train = single.where("split = 'train'").count()
+    monkeypatch.setattr(S, "storage_memory_bytes", lambda _: int(n_train * 6 * 4 / 0.4))
+    running, most, lock, fit = [], [], threading.Lock(), RandomForestClassifier.fit
+
+    def counted_fit(self, rows, *a):
+        with lock:
+            running.append(self)
+            most.append(len(running))
+        try:
+            return fit(self, rows, *a)
+        finally:
+            with lock:
+                running.remove(self)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", counted_fit)
+    assert S.sweep(single, "forest", only=("minInfoGain",), numTrees=2).count() == 3
+    assert max(most) == 2
+
+
+def test_spaces_of_a_text_are_no_matches(spark):
+    texts = ["a  b", " ", "", "a-b_c,\t\u00a0d\n", "\u00c9t\u00e9 \U0001f600!", "x\u2003\u200b\r\x0b\x00"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for pattern, before, unicode_words in ((T.NON_WORD, r"[\W]", False), (T.NON_WORD_UNICODE, r"(?U)[\W]", True)):
+        got = rows.select(F.regexp_count("t", F.lit(pattern)).alias("n"), T.normalize_text("t", unicode_words).alias("t"),
+                          F.lower(F.regexp_replace("t", before, " ")).alias("was")).collect()
+        assert [r.n for r in got][:3] == [0, 0, 0]
+        assert [r.t for r in got] == [r.was for r in got]
+
+
 def _documents(spark, folder, files):
     texts = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit('a "b",\n'), F.col("id").cast("string")).alias("text"),
                                     F.lit("en").alias("lang"), F.lit(9).cast("long").alias("n_chars"))
